@@ -9,8 +9,11 @@ from streamloom.catalog.registry import CLICKS, SENSORS, WORDS, query
 from streamloom.operators import aggregate, project, running
 from streamloom.operators.user_aggregate import UserAggregate, aggregate_with
 from streamloom.plans.derived import clicks, sensors
+from streamloom.shipping import ship_by_value
 from streamloom.sources.files import read_table
 
+ship_by_value(__name__)
+
 
 @query("word_count", f"WITH {WORDS} SELECT word, count(*) AS n FROM words GROUP BY word")
 def _(spark, sf):

@@ -1,0 +1,148 @@
+"""Streaming forms of the operators, run over a whole table to its end.
+
+Each reads its table as a stream, writes every micro-batch to the shared scratch folder and reads the result
+back; the SQL is that of the batch form.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from streamloom.catalog.joins import TODAY
+from streamloom.catalog.pipelines import CDC_FACTS, DAU, LOG_TOPICS, ORDER_WIDE, dim_tables, fact_tables, topic_summary
+from streamloom.catalog.registry import CLICKS, ORACLES, WORDS, query
+from streamloom.catalog.windows import DAY, SECOND, SESSION, SESSION_GAP, SLIDE, TOP_TWO, TUMBLE
+from streamloom.operators import project, windows
+from streamloom.plans import cdc, log_fanout
+from streamloom.plans.dau import enrich_visits, first_visits_stream
+from streamloom.plans.derived import (
+    changes, clicks_of, order_details_of, order_headers_of, province_dim, raw_logs_of, user_dim,
+)
+from streamloom.plans.order_wide import order_wide_stream
+from streamloom.session import scratch
+from streamloom.sources.files import stream_table
+from streamloom.streaming import queries, sinks, stateful
+from streamloom.streaming.run import run_latest, run_to_table, with_end_mark
+
+DELAY = "2 seconds"
+
+
+def _clicks(spark, sf):
+    return clicks_of(stream_table(spark, sf, "events"))
+
+
+def _ending(spark, sf):
+    return clicks_of(with_end_mark(stream_table(spark, sf, "events"), "ts"))
+
+
+@query("word_count_stream", f"WITH {WORDS} SELECT word, count(*) AS n FROM words GROUP BY word")
+def _(spark, sf):
+    lines = project.text_lines(stream_table(spark, sf, "documents"), "text")
+    return run_latest(queries.word_count(lines, "line"), ["word"])
+
+
+@query("tumble_count_stream", TUMBLE)
+def _(spark, sf):
+    return run_to_table(windows.tumble_count(_ending(spark, sf).withWatermark("ts", DELAY), ["url"], DAY)).drop("batch_id")
+
+
+@query("slide_count_stream", SLIDE)
+def _(spark, sf):
+    return run_to_table(queries.sliding_counts(_ending(spark, sf), DAY, DAY // 2, DELAY)).drop("batch_id")
+
+
+@query("session_count_stream", SESSION)
+def _(spark, sf):
+    rows = _ending(spark, sf).withWatermark("ts", DELAY)
+    return run_to_table(windows.session_count_stream(rows, ["user"], SESSION_GAP)).drop("batch_id")
+
+
+@query("topn_two_stage", TOP_TWO)
+def _(spark, sf):
+    path = scratch(spark, "topn")
+    run = queries.start_topn(_ending(spark, sf), DAY, DAY // 2, 2, DELAY, path, scratch(spark, "topn-checkpoint"))
+    run.awaitTermination()
+    return spark.read.schema("win_start bigint, win_end bigint, url string, count bigint, rank int").parquet(path).drop("batch_id")
+
+
+@query("union_streams_wm_stream", TUMBLE)
+def _(spark, sf):
+    first = with_end_mark(_clicks(spark, sf).filter("seq % 2 = 0"), "ts")
+    second = with_end_mark(_clicks(spark, sf).filter("seq % 2 = 1"), "ts")
+    both = queries.union_watermarked(first, "2 seconds", second, "5 seconds")
+    return run_to_table(windows.tumble_count(both, ["url"], DAY)).drop("batch_id")
+
+
+@query("timer_event_stream", ORACLES["timer_event"])
+def _(spark, sf):
+    out = run_to_table(stateful.timer_event(_ending(spark, sf), 10 * SECOND, DELAY))
+    return out.filter("user IS NOT NULL").select("user", "at", "kind")
+
+
+@query("log_fanout_stream", LOG_TOPICS)
+def _(spark, sf):
+    messages = log_fanout.route_logs(raw_logs_of(stream_table(spark, sf, "events")))
+    routed = sinks.routed(messages, F.col("topic"), F.col("value"))
+    path = scratch(spark, "topics")
+    sinks.sink_routed_files(routed, path, scratch(spark, "topics-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return topic_summary(spark.read.schema("key string, value string, topic string").parquet(path))
+
+
+def _change_stream(spark, sf):
+    path = scratch(spark, "changes")
+    raw = changes(spark, sf)
+    raw.write.parquet(path)
+    return cdc.parse_changes(spark.readStream.schema(raw.schema).parquet(path))
+
+
+@query("cdc_route_stream", CDC_FACTS)
+def _(spark, sf):
+    return run_to_table(cdc.fact_changes(_change_stream(spark, sf), fact_tables(spark, sf))).drop("batch_id")
+
+
+@query("dim_upsert_stream", ORACLES["dim_upsert"])
+def _(spark, sf):
+    keyed = cdc.dim_changes(_change_stream(spark, sf), dim_tables(spark, sf))
+    path = scratch(spark, "dims")
+    sinks.sink_dimensions(keyed, path, scratch(spark, "dims-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return sinks.read_dimensions(spark, path)
+
+
+@query("dau_stream", f"""
+    WITH full_rows AS ({DAU}) SELECT mid, user_id, user_gender, user_age, province_name, dt FROM full_rows""")
+def _(spark, sf):
+    pages = log_fanout.log_page(log_fanout.parse_logs(raw_logs_of(stream_table(spark, sf, "events"))))
+    first = first_visits_stream(pages, "1 day")
+    visits = enrich_visits(first, user_dim(spark, sf), province_dim(spark, sf), F.lit(TODAY).cast("date"))
+    return run_to_table(visits).select("mid", "user_id", "user_gender", "user_age", "province_name", "dt")
+
+
+@query("order_wide_stream", ORDER_WIDE)
+def _(spark, sf):
+    wide = order_wide_stream(
+        order_headers_of(stream_table(spark, sf, "orders")), order_details_of(stream_table(spark, sf, "lineitem")),
+        user_dim(spark, sf), province_dim(spark, sf), F.lit(TODAY).cast("date"), "1 day", "4000 days",
+    )
+    return run_to_table(wide).drop("batch_id")
+
+
+@query("sink_rolling_files", f"""
+    WITH {CLICKS} SELECT strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d %H') AS dt_hour, 'a:' || seq AS value FROM clicks""")
+def _(spark, sf):
+    lines = _clicks(spark, sf).select(F.concat(F.lit("a:"), F.col("seq")).alias("value"), "ts")
+    path = scratch(spark, "rolling")
+    writer = sinks.sink_rolling_files(lines, path, scratch(spark, "rolling-checkpoint"), at=F.col("ts"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("value string, dt_hour string").text(path)
+
+
+@query("sink_labelled", f"""
+    WITH {CLICKS}
+    SELECT CASE WHEN url = 'error' THEN 'later' ELSE 'first' END AS label, count(*) AS n FROM clicks GROUP BY 1""")
+def _(spark, sf):
+    path = scratch(spark, "labelled")
+    for label, rows in {"first": "url <> 'error'", "later": "url = 'error'"}.items():
+        stream = _clicks(spark, sf).filter(rows).select("user", "url", "timestamp")
+        writer = sinks.sink_labelled(stream, label, path, scratch(spark, "labelled-checkpoint"))
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(path).groupBy("label").agg(F.count(F.lit(1)).alias("n"))

@@ -9,6 +9,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from streamloom.shipping import ship_by_value
+
+ship_by_value(__name__)
+
 _TOKEN = re.compile(r"\s*(?:(\d+\.?\d*(?:[eE][+-]?\d+)?|\.\d+(?:[eE][+-]?\d+)?)|([-+*/%()]))")
 _RANK = {"+": 1, "-": 1, "*": 2, "/": 2, "%": 2, "neg": 3}
 

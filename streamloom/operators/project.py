@@ -8,6 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from streamloom.functions import text
+from streamloom.shipping import ship_by_value
+
+ship_by_value(__name__)
 
 
 def map_field(df: DataFrame, field: str, *keep: str) -> DataFrame:

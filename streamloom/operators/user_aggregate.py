@@ -11,6 +11,10 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from streamloom.shipping import ship_by_value
+
+ship_by_value(__name__)
+
 KEYS_IN_MEMORY = 50_000
 
 

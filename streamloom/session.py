@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -46,6 +45,9 @@ def build_session(app: str, cpus: int | str = "*") -> SparkSession:
     return spark
 
 
+_local_root: list[str] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -56,9 +58,9 @@ def scratch_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = os.environ.get("STREAMLOOM_LOCAL_SCRATCH") or tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not _local_root:
+        _local_root.append(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return _local_root[0]
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:

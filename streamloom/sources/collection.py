@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def from_rows(spark: SparkSession, rows: Iterable[Sequence], schema: StructType | str) -> DataFrame:
@@ -13,7 +13,7 @@ def from_rows(spark: SparkSession, rows: Iterable[Sequence], schema: StructType
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     numbered = [(*row, i) for i, row in enumerate(rows)]
-    return spark.createDataFrame(numbered, StructType(schema.fields).add("seq", "bigint"))
+    return spark.createDataFrame(numbered, StructType([*schema.fields, StructField("seq", LongType())]))
 
 
 def numbered(spark: SparkSession, n: int, prefix: str = "a:") -> DataFrame:
