@@ -51,6 +51,7 @@ def with_end_mark(stream: DataFrame, time: str, end: str = "9000-01-01 00:00:00"
     """The stream with one far-future row, so that a bounded input closes all its windows at the end.
 
     Apply it before ``withWatermark``; the row's own window never closes, so it is never part of a result.
+    For a source read in one micro-batch: rows of a later batch would find the watermark past them.
     """
     spark, path = stream.sparkSession, scratch(stream.sparkSession, "end-mark")
     mark = [

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", 8)
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
     session.stop()
 
