@@ -34,15 +34,15 @@ def _displays(which: str) -> str:
     FROM (SELECT *, unnest(range(1, event_id % 4 + 1)) AS i FROM events WHERE {which})"""
 
 
-def _logs(spark, sf):
-    return log_fanout.parse_logs(raw_logs(spark, sf))
+def _logs(spark, sf, parts=log_fanout.PAGE_PARTS):
+    return log_fanout.parse_logs(raw_logs(spark, sf), *parts)
 
 
 @query("log_error", """
     SELECT event_id % 7 AS error_code, 'failed' AS msg FROM events WHERE event_type = 'error'""")
 def _(spark, sf):
     err = F.from_json("err", "error_code bigint, msg string")
-    return log_fanout.log_error(_logs(spark, sf)).select(err.alias("e")).select("e.*")
+    return log_fanout.log_error(_logs(spark, sf, ["err"])).select(err.alias("e")).select("e.*")
 
 
 @query("log_page", f"WITH {PAGE_LOG} SELECT * FROM page_log")
@@ -56,17 +56,17 @@ def _(spark, sf):
     FROM (SELECT *, unnest(CASE event_type WHEN 'click' THEN [1] ELSE [1, 2] END) AS i
           FROM events WHERE event_type IN ('click', 'purchase'))""")
 def _(spark, sf):
-    return log_fanout.log_action(_logs(spark, sf))
+    return log_fanout.log_action(_logs(spark, sf, log_fanout.ACTION_PARTS))
 
 
 @query("log_display", _displays("event_type IN ('click', 'purchase')"))
 def _(spark, sf):
-    return log_fanout.log_display(_logs(spark, sf))
+    return log_fanout.log_display(_logs(spark, sf, log_fanout.DISPLAY_PARTS))
 
 
 @query("log_display_all", _displays(_IS_PAGE))
 def _(spark, sf):
-    return log_fanout.log_display_all(_logs(spark, sf))
+    return log_fanout.log_display_all(_logs(spark, sf, log_fanout.DISPLAY_PARTS))
 
 
 @query("log_start", f"""
@@ -74,7 +74,7 @@ def _(spark, sf):
         event_id % 300 AS open_ad_ms, event_id % 50 AS open_ad_skip_ms, epoch_us(ts) // 1000 AS ts
     FROM events WHERE event_type <> 'error' AND (event_type = 'signup' OR event_id % 10 = 0)""")
 def _(spark, sf):
-    return log_fanout.log_start(_logs(spark, sf))
+    return log_fanout.log_start(_logs(spark, sf, log_fanout.START_PARTS))
 
 
 LOG_TOPICS = f"""

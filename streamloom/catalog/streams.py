@@ -111,7 +111,7 @@ def _(spark, sf):
 @query("dau_stream", f"""
     WITH full_rows AS ({DAU}) SELECT mid, user_id, user_gender, user_age, province_name, dt FROM full_rows""")
 def _(spark, sf):
-    pages = log_fanout.log_page(log_fanout.parse_logs(raw_logs_of(stream_table(spark, sf, "events"))))
+    pages = log_fanout.log_page(log_fanout.parse_logs(raw_logs_of(stream_table(spark, sf, "events")), *log_fanout.PAGE_PARTS))
     first = first_visits_stream(pages, "1 day")
     visits = enrich_visits(first, user_dim(spark, sf), province_dim(spark, sf), F.lit(TODAY).cast("date"))
     return run_to_table(visits).select("mid", "user_id", "user_gender", "user_age", "province_name", "dt")

@@ -13,7 +13,7 @@ from streamloom.shipping import ship_by_value
 
 ship_by_value(__name__)
 
-_TOKEN = re.compile(r"\s*(?:(\d+\.?\d*(?:[eE][+-]?\d+)?|\.\d+(?:[eE][+-]?\d+)?)|([-+*/%()]))")
+_TOKEN = re.compile(r"\d+\.?\d*(?:[eE][+-]?\d+)?|\.\d+(?:[eE][+-]?\d+)?|[-+*/%()]|\S", re.ASCII)
 _RANK = {"+": 1, "-": 1, "*": 2, "/": 2, "%": 2, "neg": 3}
 
 
@@ -48,18 +48,15 @@ def evaluate(text: str | None) -> float | None:
         right = values.pop()
         values.append(-right if op == "neg" else _APPLY[op](values.pop(), right))
 
-    position, end, want_value = 0, len(text.rstrip()), True
-    while position < end:
-        match = _TOKEN.match(text, position)
-        if not match:
-            return None
-        position = match.end()
-        number, symbol = match.groups()
-        if number is not None:
+    want_value = True
+    for symbol in _TOKEN.findall(text):
+        if symbol[0] in "0123456789" or symbol[0] == "." and len(symbol) > 1:
             if not want_value:
                 return None
-            values.append(float(number))
+            values.append(float(symbol))
             want_value = False
+        elif symbol not in "+-*/%()":
+            return None
         elif symbol == "(" or (want_value and symbol in "+-"):
             if not want_value:
                 return None

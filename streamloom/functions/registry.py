@@ -15,21 +15,21 @@ def register(spark: SparkSession) -> None:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(input STRING) RETURNS {returns} RETURN {body}")
 
 
-def _sql_map(values: dict[str, float]) -> str:
-    return "map(" + ", ".join(f"'{k}', {v}D" for k, v in values.items()) + ")"
+def _value(char: str, values: dict[str, float]) -> str:
+    numbers = ", ".join(f"{v}D" for v in values.values())
+    return f"try_element_at(array({numbers}), nullif(instr('{''.join(values)}', {char}), 0))"
 
 
+_DIGITS = "".join(d for d, value in text.DIGITS.items() if value)
+_UNITS = "".join(text.UNITS)
+_TELLING = f"regexp_replace(input, '[^{_DIGITS}{_UNITS}]', '')"
+_REST = f"regexp_extract({_TELLING}, '[{_DIGITS}]$', 0)"
+
 SQL_BODIES = {
-    "transform_digit": ("STRING", f"""aggregate(
-        split(replace(input, '整', ''), ''),
-        named_struct('total', 0D, 'waiting', 0D),
-        (acc, ch) -> CASE
-            WHEN try_element_at({_sql_map(text.DIGITS)}, ch) > 0
-                THEN named_struct('total', acc.total, 'waiting', try_element_at({_sql_map(text.DIGITS)}, ch))
-            WHEN try_element_at({_sql_map(text.DIGITS)}, ch) IS NULL AND try_element_at({_sql_map(text.UNITS)}, ch) IS NOT NULL
-                THEN named_struct('total', acc.total + acc.waiting * try_element_at({_sql_map(text.UNITS)}, ch), 'waiting', 0D)
-            ELSE acc END,
-        acc -> CAST(acc.total + acc.waiting AS STRING))"""),
+    "transform_digit": ("STRING", f"""CAST(
+        aggregate(regexp_extract_all({_TELLING}, '[{_DIGITS}][{_UNITS}]', 0), 0D,
+            (sum_, pair) -> sum_ + {_value('left(pair, 1)', text.DIGITS)} * {_value('right(pair, 1)', text.UNITS)})
+        + CASE WHEN {_REST} = '' THEN 0D ELSE {_value(_REST, text.DIGITS)} END AS STRING)"""),
     "script_tables": ("ARRAY<STRING>", f"regexp_extract_all(input, r'{text.CREATED_OR_OVERWRITTEN}', 1)"),
     "script_overwrites": ("ARRAY<STRING>", f"regexp_extract_all(input, r'{text.OVERWRITTEN}', 1)"),
 }

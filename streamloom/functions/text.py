@@ -71,33 +71,28 @@ def upper_name(prefix: str, table: Column, suffix: Column) -> Column:
     return F.concat(F.lit(prefix), F.lit("_"), F.upper(table), F.lit("_"), suffix)
 
 
-def _constant_map(values: dict[str, float]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+def _looked_up(char: Column, values: dict[str, float]) -> Column:
+    """Value of a character; NULL for one that has none."""
+    place = F.instr(F.lit("".join(values)), char)
+    return F.try_element_at(F.array(*[F.lit(v) for v in values.values()]), F.nullif(place, F.lit(0)))
 
 
 def numeral_to_number(text: Column) -> Column:
     """Chinese numeral text → number text; characters that mean nothing are passed over.
 
-    Read left to right: a digit waits until a unit scales it, and the last waiting digit counts once.
+    A unit scales the last digit since the unit before it, the last digit after the last unit counts once,
+    and all of them are added from left to right. Zero is no digit here: it never waits for a unit.
     """
-    digits, units = _constant_map(DIGITS), _constant_map(UNITS)
-
-    def state(total: Column, waiting: Column) -> Column:
-        return F.struct(total.alias("total"), waiting.alias("waiting"))
-
-    def step(acc: Column, char: Column) -> Column:
-        digit = F.try_element_at(digits, char)
-        unit = F.try_element_at(units, char)
-        return (
-            F.when(digit > 0, state(acc["total"], digit))
-            .when(digit.isNull() & unit.isNotNull(), state(acc["total"] + acc["waiting"] * unit, F.lit(0.0)))
-            .otherwise(acc)
-        )
-
-    chars = F.split(F.replace(text, F.lit("整"), F.lit("")), "")
-    return F.aggregate(
-        chars, state(F.lit(0.0), F.lit(0.0)), step, lambda acc: (acc["total"] + acc["waiting"]).cast("string")
+    digits = "".join(d for d, value in DIGITS.items() if value)
+    units = "".join(UNITS)
+    telling = F.regexp_replace(text, f"[^{digits}{units}]", "")
+    scaled = F.regexp_extract_all(telling, F.lit(f"[{digits}][{units}]"), 0)
+    rest = F.regexp_extract(telling, f"[{digits}]$", 0)
+    total = F.aggregate(
+        scaled, F.lit(0.0),
+        lambda sum_, pair: sum_ + _looked_up(F.left(pair, F.lit(1)), DIGITS) * _looked_up(F.right(pair, F.lit(1)), UNITS),
     )
+    return (total + F.when(rest == "", 0.0).otherwise(_looked_up(rest, DIGITS))).cast("string")
 
 
 def script_tables(script: Column) -> Column:

@@ -64,7 +64,8 @@ def on_time_counts(split: DataFrame, keys: list[str]) -> DataFrame:
 def emissions(split: DataFrame, keys: list[str], seq: str = "seq", chunk: int | None = None) -> DataFrame:
     """Everything the windows emit: the first firing, then one updated count per re-firing row.
 
-    ``seq`` is NULL for first firings.
+    ``seq`` is NULL for first firings. Give the ``chunk`` of the recorded arrivals (``running.chunk_for``); finding
+    it here would run the whole split once more.
     """
     group = [*keys, "win_start", "win_end"]
     first = on_time_counts(split, keys).select(

@@ -2,19 +2,17 @@
 
 A plain window partitioned by key sends a whole key to one task. Here the rows of a key are cut into
 stretches of at most ``chunk`` arrival numbers. Each stretch is aggregated on the map side, the few
-stretch results per key are accumulated, and every row adds the value carried into its stretch to a
-running value inside the stretch. No task ever holds more than ``chunk`` rows of a key.
+stretch results per key are accumulated, and what is carried into a stretch is put before its rows as one more
+row, so a window over the stretch gives the running value. The rows are shuffled once, nothing is joined, and
+no stretch has more than ``chunk`` rows.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SMALLEST_CHUNK = 1024
 _STRETCH = "__stretch"
-_ARRIVAL = "__arrival"
 
 
 def chunk_for(df: DataFrame, seq: str) -> int:
@@ -40,60 +38,47 @@ def running(
     ``earlier_only`` the row itself is left out.
     """
     chunk = chunk or chunk_for(df, seq)
-    cut = df.withColumn(_STRETCH, F.floor(F.col(seq) / chunk))
     groups = [*keys, _STRETCH]
+    inputs = {f"__x_{name}": _input(kind, expr) for name, (kind, expr) in values.items()}
+    cut = df.withColumns({_STRETCH: F.floor(F.col(seq) / chunk), **inputs})
 
-    stretch = cut.groupBy(*groups).agg(
-        *[_total(kind, expr, seq).alias(f"__in_{name}") for name, (kind, expr) in values.items()]
-    )
+    kinds = {name: kind for name, (kind, _) in values.items()}
+    stretches = cut.groupBy(*groups).agg(*[_total(kind, f"__x_{name}", seq).alias(f"__x_{name}") for name, kind in kinds.items()])
     before = Window.partitionBy(*keys).orderBy(_STRETCH).rowsBetween(Window.unboundedPreceding, -1)
-    carried = stretch.select(
-        *[F.col(g).alias(f"__c{g}") for g in groups],
-        *[_carry(kind, F.col(f"__in_{name}"), before).alias(f"__in_{name}") for name, (kind, _) in values.items()],
-    )
+    carried = stretches.select(*groups, *[_over(kind, f"__x_{name}", before).alias(f"__x_{name}") for name, kind in kinds.items()])
 
+    # A carried row has no arrival number, so it sorts before the rows of its stretch.
     last = -1 if earlier_only else Window.currentRow
-    inside = Window.partitionBy(*groups).orderBy(seq).rowsBetween(Window.unboundedPreceding, last)
-    local = cut.withColumns(
-        {f"__own_{name}": _local(kind, expr, inside) for name, (kind, expr) in values.items()}
-    )
-    same_group = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__c{g}")) for g in groups])
-    joined = local.join(carried, same_group, "left")
-    return joined.select(
-        *[F.col(c) for c in df.columns],
-        *[
-            _combine(kind, F.col(f"__in_{name}"), F.col(f"__own_{name}")).alias(name)
-            for name, (kind, _) in values.items()
-        ],
+    inside = Window.partitionBy(*groups).orderBy(F.col(seq).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, last)
+    together = cut.unionByName(carried, allowMissingColumns=True)
+    results = together.withColumns({f"__r_{name}": _over(kind, f"__x_{name}", inside) for name, kind in kinds.items()})
+    return results.filter(F.col(seq).isNotNull()).select(
+        *df.columns, *[_output(kind, F.col(f"__r_{name}")).alias(name) for name, kind in kinds.items()]
     )
 
 
-def _total(kind: str, expr: Column, seq: str) -> Column:
+def _input(kind: str, expr: Column) -> Column:
     if kind == "first":
-        return F.min_by(F.struct(expr.alias("v")), F.col(seq))
-    return {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}[kind](expr)
+        return F.struct(expr.alias("v"))
+    return expr.isNotNull().cast("bigint") if kind == "count" else expr
 
 
-def _carry(kind: str, col: Column, window) -> Column:
-    fold = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min, "first": F.first}[kind]
-    return fold(col).over(window)
+def _total(kind: str, column: str, seq: str) -> Column:
+    if kind == "first":
+        return F.min_by(column, seq)
+    return {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}[kind](column)
 
 
-def _local(kind: str, expr: Column, window) -> Column:
+def _over(kind: str, column: str, window) -> Column:
     if kind == "first":
-        return F.first(F.struct(expr.alias("v"))).over(window)
-    return {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}[kind](expr).over(window)
+        return F.first(column, ignorenulls=True).over(window)
+    return {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}[kind](column).over(window)
 
 
-def _combine(kind: str, carried: Column, own: Column) -> Column:
+def _output(kind: str, result: Column) -> Column:
     if kind == "first":
-        return F.coalesce(carried, own)["v"]
-    if kind == "max":
-        return F.greatest(carried, own)
-    if kind == "min":
-        return F.least(carried, own)
-    both = F.when(carried.isNull(), own).when(own.isNull(), carried).otherwise(carried + own)
-    return F.coalesce(both, F.lit(0)) if kind == "count" else both
+        return result["v"]
+    return F.coalesce(result, F.lit(0)) if kind == "count" else result
 
 
 def running_sum_keep_first(df: DataFrame, key: str, value: str, keep: list[str], seq: str = "seq", chunk: int | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from streamloom.shipping import ship_by_value
 ship_by_value(__name__)
 
 KEYS_IN_MEMORY = 50_000
+ROWS_PER_ADD = 100_000
 
 
 class UserAggregate(ABC):
@@ -54,12 +55,21 @@ def aggregate_with(df: DataFrame, key: str, user: UserAggregate, result_type: st
             held.clear()
             return out
 
-        for batch in batches:
-            for value, rows in batch.groupby(key, sort=False, dropna=False):
+        def add(rows_of_all: list[pd.DataFrame]) -> None:
+            for value, rows in pd.concat(rows_of_all).groupby(key, sort=False, dropna=False):
                 value = None if pd.isna(value) else value
                 held[value] = user.add(held[value] if value in held else user.create(), rows)
+
+        waiting: list[pd.DataFrame] = []
+        for batch in batches:
+            waiting.append(batch)
+            if sum(map(len, waiting)) >= ROWS_PER_ADD:
+                add(waiting)
+                waiting = []
             if len(held) >= KEYS_IN_MEMORY:
                 yield flush()
+        if waiting:
+            add(waiting)
         if held:
             yield flush()
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from streamloom.functions.json import to_rows
 from streamloom.functions.text import upper_name
 from streamloom.operators.joins import keep_listed
 from streamloom.operators.ranking import first_per_key
@@ -26,8 +27,7 @@ def parse_changes(raw: DataFrame) -> DataFrame:
 
     Other columns of ``raw`` are kept.
     """
-    keep = [c for c in raw.columns if c != "value"]
-    rows = raw.select(*keep, F.from_json("value", CDC).alias("c")).select(*keep, "c.*")
+    rows = to_rows(raw, "value", CDC)
     return rows.withColumn("op", operation(F.col("type"))).filter("op IS NOT NULL")
 
 

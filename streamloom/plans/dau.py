@@ -38,12 +38,19 @@ def daily_active_users(page_log: DataFrame, users: DataFrame, provinces: DataFra
     return enrich_visits(first, users, provinces, today)
 
 
-def first_visits_stream(page_log: DataFrame, delay: str) -> DataFrame:
-    """First visit per device and day of a stream; state of a day is dropped once the watermark passes it."""
-    timed = filter_first_visit(page_log).withColumn("event_time", F.timestamp_millis("ts"))
+def first_visits_stream(page_log: DataFrame, delay: str, salts: int = 16) -> DataFrame:
+    """First visit per device and day of a stream; state of a day is dropped once the watermark passes it.
+
+    A device with very many rows is first thinned in ``salts`` places, so no task meets all its rows.
+    """
+    timed = filter_first_visit(page_log).withColumns({
+        "event_time": F.timestamp_millis("ts"),
+        "salt": F.pmod(F.xxhash64(*page_log.columns), F.lit(salts)),
+    })
     return (
         timed.withWatermark("event_time", delay)
         .withColumn("day", F.window("event_time", "1 day"))
+        .dropDuplicates(["day", "mid", "salt"])
         .dropDuplicates(["day", "mid"])
-        .drop("day", "event_time")
+        .drop("day", "event_time", "salt")
     )

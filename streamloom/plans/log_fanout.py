@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from streamloom.functions.json import to_rows
 from streamloom.schemas import RAW_LOG
 
 # Output topics.
@@ -14,6 +15,11 @@ TOPICS = {
     "display": "DWD_PAGE_DISPLAY_1018",
     "start": "DWD_START_LOG_1018",
 }
+# What each output reads of a log.
+PAGE_PARTS = ("common", "page", "err", "ts")
+ACTION_PARTS = (*PAGE_PARTS, "actions")
+DISPLAY_PARTS = (*ACTION_PARTS, "displays")
+START_PARTS = ("common", "start", "err", "ts")
 
 
 def _visitor() -> list[Column]:
@@ -52,16 +58,13 @@ def _start_fields() -> list[Column]:
     return [*[F.col(f"start.{n}").alias(n) for n in names], F.col("ts")]
 
 
-
-
-
 def _is_page() -> Column:
     return F.col("err").isNull() & F.col("page").isNotNull()
 
 
-def parse_logs(raw: DataFrame) -> DataFrame:
-    """Parse each text once. Batch or streaming."""
-    return raw.select(F.from_json("value", RAW_LOG).alias("log")).select("log.*")
+def parse_logs(raw: DataFrame, *parts: str) -> DataFrame:
+    """Parse each text once, reading only the ``parts`` named (default: all). Batch or streaming."""
+    return to_rows(raw.select("value"), "value", {p: RAW_LOG[p] for p in parts or RAW_LOG})
 
 
 def log_error(logs: DataFrame) -> DataFrame:

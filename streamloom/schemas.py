@@ -74,16 +74,17 @@ ORDER_WIDE = _schema(
     f"sku_name string, {_DETAIL_AMOUNTS}, {_ORDER_BODY}"
 )
 
-# Nested, so given as text. Raw log: err is kept as JSON text, because only the object itself is passed on.
-RAW_LOG = (
-    "common struct<mid:string,uid:string,ar:string,ch:string,os:string,md:string,vc:string,is_new:string>, "
-    "page struct<page_id:string,item:string,item_type:string,last_page_id:string,during_time:bigint>, "
-    "actions array<struct<action_id:string,item:string,item_type:string,ts:bigint>>, "
-    "displays array<struct<display_type:string,item:string,item_type:string,order:string,pos_id:string>>, "
-    "start struct<entry:string,open_ad_id:string,loading_time_ms:bigint,open_ad_ms:bigint,open_ad_skip_ms:bigint>, "
-    "err string, ts bigint"
-)
-CDC = "type string, table string, data string"
+# Nested types are given as text. Raw log: err is kept as JSON text, because only the object itself is passed on.
+RAW_LOG = {
+    "common": "struct<mid:string,uid:string,ar:string,ch:string,os:string,md:string,vc:string,is_new:string>",
+    "page": "struct<page_id:string,item:string,item_type:string,last_page_id:string,during_time:bigint>",
+    "actions": "array<struct<action_id:string,item:string,item_type:string,ts:bigint>>",
+    "displays": "array<struct<display_type:string,item:string,item_type:string,order:string,pos_id:string>>",
+    "start": "struct<entry:string,open_ad_id:string,loading_time_ms:bigint,open_ad_ms:bigint,open_ad_skip_ms:bigint>",
+    "err": "string",
+    "ts": "bigint",
+}
+CDC = {"type": "string", "table": "string", "data": "string"}
 USER_DIM = _schema("gender string, birthday string")
 PROVINCE_DIM = _schema("name string, iso_code string, iso_3166_2 string, area_code string")
 

@@ -17,6 +17,7 @@ from streamloom.streaming.run import write_batches
 EMISSION = "url string, win_start bigint, win_end bigint, count bigint, kind string, batch_id bigint"
 LATE = "user string, url string, timestamp bigint, batch_id bigint"
 _OPEN = "url string, win_start bigint, win_end bigint, count bigint, fired boolean"
+_WINDOWS = _OPEN + ", new boolean, late boolean, due boolean"
 _MARK = "max_time bigint"
 
 
@@ -46,7 +47,7 @@ class LateTumblingCount:
         before = F.lit(self._watermark(max_time)).cast("bigint")
 
         start = window_floor(F.col("timestamp"), self.size)
-        rows = batch.select("user", "url", "timestamp", start.alias("win_start"), (start + self.size).alias("win_end"))
+        rows = batch.select("user", "url", "timestamp", start.alias("win_start"), (start + self.size).alias("win_end")).persist()
         too_late = F.coalesce(F.col("win_end") - 1 + self.lateness <= before, F.lit(False))
         write_batches(rows.filter(too_late).select("user", "url", "timestamp"), batch_id, f"{self.path}/later")
 
@@ -63,6 +64,9 @@ class LateTumblingCount:
             .withColumn("late", F.coalesce(F.col("win_end") - 1 <= before, F.lit(False)) & F.col("new"))
             .withColumn("due", F.coalesce(F.col("win_end") - 1 <= after, F.lit(False)))
         )
+        write_batches(windows, batch_id, f"{self.path}/windows")
+        windows = spark.read.schema(_WINDOWS).parquet(f"{self.path}/windows/batch_id={batch_id}")
+
         kind = F.when(F.col("late"), "refire").when(F.col("due") & ~F.col("fired"), "first")
         out = windows.withColumn("kind", kind).filter("kind IS NOT NULL").select("url", "win_start", "win_end", "count", "kind")
         write_batches(out, batch_id, f"{self.path}/emitted")
@@ -71,6 +75,7 @@ class LateTumblingCount:
         still = windows.filter(alive).select("url", "win_start", "win_end", "count", (F.col("fired") | F.col("due")).alias("fired"))
         write_batches(still, batch_id, f"{self.path}/open")
         write_batches(spark.range(1).select(F.lit(max_time).cast("bigint").alias("max_time")), batch_id, f"{self.path}/mark")
+        rows.unpersist()
 
     def emitted(self, spark: SparkSession, flush_after: int | None = None) -> DataFrame:
         """All emissions; with ``flush_after`` (the last batch) windows still open fire as the input ends."""

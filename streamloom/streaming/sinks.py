@@ -151,5 +151,14 @@ def sink_dimensions(keyed: DataFrame, path: str, checkpoint: str, seq: str = "se
 
 def read_dimensions(spark: SparkSession, path: str) -> DataFrame:
     """Current snapshot of a dimension folder."""
+    return _newest_dimensions(spark, path).select("key", "value")
+
+
+def compact_dimensions(spark: SparkSession, path: str, target: str) -> None:
+    """Write the snapshot of ``path`` as the first folder of ``target``; a restarted sink goes on from there."""
+    write_batches(_newest_dimensions(spark, path).drop("batch_id"), -1, target)
+
+
+def _newest_dimensions(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema("key string, value string, seq bigint, batch_id bigint").parquet(path)
-    return first_per_key(rows, ["key"], [F.col("seq").desc(), F.col("batch_id").desc()]).select("key", "value")
+    return first_per_key(rows, ["key"], [F.col("seq").desc(), F.col("batch_id").desc()])
