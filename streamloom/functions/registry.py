@@ -20,16 +20,11 @@ def _value(char: str, values: dict[str, float]) -> str:
     return f"try_element_at(array({numbers}), nullif(instr('{''.join(values)}', {char}), 0))"
 
 
-_DIGITS = "".join(d for d, value in text.DIGITS.items() if value)
-_UNITS = "".join(text.UNITS)
-_TELLING = f"regexp_replace(input, '[^{_DIGITS}{_UNITS}]', '')"
-_REST = f"regexp_extract({_TELLING}, '[{_DIGITS}]$', 0)"
-
 SQL_BODIES = {
-    "transform_digit": ("STRING", f"""CAST(
-        aggregate(regexp_extract_all({_TELLING}, '[{_DIGITS}][{_UNITS}]', 0), 0D,
-            (sum_, pair) -> sum_ + {_value('left(pair, 1)', text.DIGITS)} * {_value('right(pair, 1)', text.UNITS)})
-        + CASE WHEN {_REST} = '' THEN 0D ELSE {_value(_REST, text.DIGITS)} END AS STRING)"""),
+    "transform_digit": ("STRING", f"""CAST(aggregate(
+        regexp_extract_all(input, '{text.SCALED_DIGIT}', 0), 0D,
+        (total, part) -> total + {_value('left(part, 1)', text.DIGITS)} * coalesce({_value('right(part, 1)', text.UNITS)}, 1D)
+        ) AS STRING)"""),
     "script_tables": ("ARRAY<STRING>", f"regexp_extract_all(input, r'{text.CREATED_OR_OVERWRITTEN}', 1)"),
     "script_overwrites": ("ARRAY<STRING>", f"regexp_extract_all(input, r'{text.OVERWRITTEN}', 1)"),
 }

@@ -77,22 +77,25 @@ def _looked_up(char: Column, values: dict[str, float]) -> Column:
     return F.try_element_at(F.array(*[F.lit(v) for v in values.values()]), F.nullif(place, F.lit(0)))
 
 
+# A digit, characters that mean nothing (zero among them), then a unit or the end of the text.
+_TELLING = "".join(d for d, value in DIGITS.items() if value) + "".join(UNITS)
+SCALED_DIGIT = "[{digits}][^{telling}]*(?:[{units}]|$)".format(
+    digits=_TELLING[: -len(UNITS)], units="".join(UNITS), telling=_TELLING
+)
+
+
 def numeral_to_number(text: Column) -> Column:
     """Chinese numeral text → number text; characters that mean nothing are passed over.
 
     A unit scales the last digit since the unit before it, the last digit after the last unit counts once,
     and all of them are added from left to right. Zero is no digit here: it never waits for a unit.
     """
-    digits = "".join(d for d, value in DIGITS.items() if value)
-    units = "".join(UNITS)
-    telling = F.regexp_replace(text, f"[^{digits}{units}]", "")
-    scaled = F.regexp_extract_all(telling, F.lit(f"[{digits}][{units}]"), 0)
-    rest = F.regexp_extract(telling, f"[{digits}]$", 0)
-    total = F.aggregate(
-        scaled, F.lit(0.0),
-        lambda sum_, pair: sum_ + _looked_up(F.left(pair, F.lit(1)), DIGITS) * _looked_up(F.right(pair, F.lit(1)), UNITS),
-    )
-    return (total + F.when(rest == "", 0.0).otherwise(_looked_up(rest, DIGITS))).cast("string")
+    def scaled(part: Column) -> Column:
+        unit = _looked_up(F.right(part, F.lit(1)), UNITS)
+        return _looked_up(F.left(part, F.lit(1)), DIGITS) * F.coalesce(unit, F.lit(1.0))
+
+    parts = F.regexp_extract_all(text, F.lit(SCALED_DIGIT), 0)
+    return F.aggregate(parts, F.lit(0.0), lambda total, part: total + scaled(part)).cast("string")
 
 
 def script_tables(script: Column) -> Column:

@@ -1,5 +1,7 @@
 """Scalar functions on known inputs."""
 
+import random
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -36,6 +38,24 @@ def test_numerals(spark):
     assert column(spark, NUMERALS, text.numeral_to_number) == list(NUMERALS.values())
 
 
+def read_left_to_right(numeral):
+    """The meaning of a numeral, character by character."""
+    total = waiting = 0.0
+    for char in numeral:
+        if text.DIGITS.get(char):
+            waiting = text.DIGITS[char]
+        elif char in text.UNITS:
+            total, waiting = total + waiting * text.UNITS[char], 0.0
+    return total + waiting
+
+
+def test_numerals_against_brute_force(spark):
+    rnd = random.Random(4)
+    alphabet = [*text.DIGITS, *text.UNITS, "整", "x", "\n"]
+    numerals = ["".join(rnd.choices(alphabet, k=rnd.randrange(15))) for _ in range(500)]
+    assert [float(x) for x in column(spark, numerals, text.numeral_to_number)] == [read_left_to_right(n) for n in numerals]
+
+
 def test_scripts(spark):
     assert column(spark, [SCRIPT], text.script_tables) == [TABLES]
     assert column(spark, [SCRIPT], text.script_overwrites) == [TARGETS]
