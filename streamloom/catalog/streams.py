@@ -20,9 +20,9 @@ from streamloom.plans.derived import (
 )
 from streamloom.plans.order_wide import order_wide_stream
 from streamloom.session import scratch
-from streamloom.sources.files import stream_table
+from streamloom.sources.files import read_table, stream_table
 from streamloom.streaming import queries, sinks, stateful
-from streamloom.streaming.run import run_latest, run_to_table, with_end_mark
+from streamloom.streaming.run import read_batches, run_latest, run_to_table, start_to_table, with_end_mark
 
 DELAY = "2 seconds"
 
@@ -146,3 +146,52 @@ def _(spark, sf):
         writer = sinks.sink_labelled(stream, label, path, scratch(spark, "labelled-checkpoint"))
         writer.trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(path).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _in_files(spark, df, files):
+    """The rows as a stream that brings one of ``files`` files per micro-batch."""
+    path = scratch(spark, "feed")
+    df.repartition(files).write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query("exactly_once_progress", f'WITH {CLICKS} SELECT seq, "user", url, ts_ms AS timestamp FROM clicks')
+def _(spark, sf):
+    rows = clicks_of(_in_files(spark, read_table(spark, sf, "events"), 4)).drop("ts")
+    path, checkpoint = scratch(spark, "once"), scratch(spark, "once-checkpoint")
+    for _start in range(2):  # the second start finds everything done
+        start_to_table(rows, path, checkpoint).awaitTermination()
+    return read_batches(spark, path, rows.schema).drop("batch_id")
+
+
+@query("cross_batch_order_state", """
+    SELECT o_orderkey AS id, o_totalprice AS total_amount, l_partkey AS sku_id
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
+def _(spark, sf):
+    headers = _in_files(spark, read_table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS id", "o_totalprice AS total_amount", "CAST(o_orderdate AS TIMESTAMP) AS header_time"), 3)
+    details = _in_files(spark, read_table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey AS id", "l_partkey AS sku_id", "CAST(l_shipdate AS TIMESTAMP) AS detail_time"), 3)
+    # Files come in no time order, so the watermark leaves room for the whole span.
+    pairs = queries.keyed_join(headers, details, "id", "header_time", "detail_time", "8000 days", "4000 days")
+    return run_to_table(pairs).select("id", "total_amount", "sku_id")
+
+
+@query("full_outer_orders_stream", ORACLES["full_outer_orders"])
+def _(spark, sf):
+    headers = with_end_mark(stream_table(spark, sf, "orders"), "o_orderdate").filter("o_orderkey % 10 <> 3 OR o_orderkey IS NULL")
+    details = with_end_mark(stream_table(spark, sf, "lineitem"), "l_shipdate").filter("l_linenumber <> 2 OR l_orderkey IS NULL")
+    headers = headers.selectExpr("o_orderkey AS id", "o_totalprice AS total_amount", "CAST(o_orderdate AS TIMESTAMP) AS header_time")
+    details = details.selectExpr("l_orderkey AS id", "l_orderkey AS order_id", "l_partkey AS sku_id", "CAST(l_shipdate AS TIMESTAMP) AS detail_time")
+    pairs = queries.keyed_join(headers, details, "id", "header_time", "detail_time", "1 day", "4000 days", "full_outer")
+    out = run_to_table(pairs).filter("__key IS NOT NULL OR order_id IS NOT NULL")
+    return out.selectExpr("__key AS header_id", "total_amount", "order_id", "sku_id")
+
+
+@query("sink_routed", f"SELECT topic, value FROM ({CDC_FACTS})")
+def _(spark, sf):
+    facts = cdc.fact_changes(_change_stream(spark, sf), fact_tables(spark, sf))
+    messages = sinks.routed(facts, F.col("topic"), F.col("value"), F.col("seq"))
+    path = scratch(spark, "routed")
+    sinks.sink_routed_files(messages, path, scratch(spark, "routed-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("key string, value string, topic string").parquet(path).select("topic", "value")
