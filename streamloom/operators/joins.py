@@ -66,5 +66,6 @@ def left_join_many(
 
 
 def keep_listed(rows: DataFrame, field: str, listed: DataFrame, list_field: str) -> DataFrame:
-    """Rows whose ``field`` is in the list."""
-    return rows.join(listed, rows[field] == listed[list_field], "left_semi")
+    """Rows whose ``field`` is in the list; the list is thinned to its values first."""
+    names = listed.select(F.col(list_field).alias("__listed")).distinct()
+    return rows.join(names, rows[field] == F.col("__listed"), "left_semi")

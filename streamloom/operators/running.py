@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from streamloom.functions.clock import window_floor
+
 SMALLEST_CHUNK = 1024
 _STRETCH = "__stretch"
 
@@ -40,7 +42,7 @@ def running(
     chunk = chunk or chunk_for(df, seq)
     groups = [*keys, _STRETCH]
     inputs = {f"__x_{name}": _input(kind, expr) for name, (kind, expr) in values.items()}
-    cut = df.withColumns({_STRETCH: F.floor(F.col(seq) / chunk), **inputs})
+    cut = df.withColumns({_STRETCH: window_floor(F.col(seq), chunk), **inputs})
 
     kinds = {name: kind for name, (kind, _) in values.items()}
     stretches = cut.groupBy(*groups).agg(*[_total(kind, f"__x_{name}", seq).alias(f"__x_{name}") for name, kind in kinds.items()])
@@ -126,7 +128,7 @@ def count_window(
     cols = sorted({col for _, col in aggs.values()})
     ranked = running(df.select(seq, key, *[c for c in cols if c != key]), [key], seq, {"__n": ("count", F.lit(1))}, chunk)
     panes = (
-        ranked.withColumn("__pane", F.floor((F.col("__n") - 1) / every))
+        ranked.withColumn("__pane", (window_floor(F.col("__n") - 1, every) / every).cast("bigint"))
         .groupBy(key, "__pane")
         .agg(F.count(F.lit(1)).alias("__rows"), F.max(seq).alias("fired_at"),
              *[_plain(kind, col).alias(name) for name, (kind, col) in aggs.items()])

@@ -74,7 +74,7 @@ def session_count(df: DataFrame, keys: list[str], gap_ms: int) -> DataFrame:
     left per key is bounded by its time span over the gap, however many rows a key has.
     """
     cells = (
-        df.groupBy(*keys, F.floor(F.col("timestamp") / gap_ms).alias("__cell"))
+        df.groupBy(*keys, window_floor(F.col("timestamp"), gap_ms).alias("__cell"))
         .agg(F.min("timestamp").alias("__from"), F.max("timestamp").alias("__to"), F.count(F.lit(1)).alias("__n"))
     )
     ordered = Window.partitionBy(*keys).orderBy("__cell")
@@ -142,7 +142,7 @@ def mean_timestamp(df: DataFrame, keys: list[str], size_ms: int) -> DataFrame:
         framed.groupBy(*keys, "win_start", "win_end")
         .agg(offset.alias("__offset"), F.count(F.lit(1)).alias("__n"))
         .select(*keys, "win_start", "win_end",
-                (F.col("win_start") + F.floor(F.col("__offset") / F.col("__n"))).alias("mean_ms"))
+                (F.col("win_start") + F.expr("__offset div __n")).alias("mean_ms"))
     )
 
 
