@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamloom.llm.common import table
+from streamloom.llm.mixing import mix
+from streamloom.llm.sharding import shuffle_into_shards
 from streamloom.llm.tokens import count_tokens
 from streamloom.llm.urls import host_of, judge_urls
+from streamloom.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +69,64 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text under the 50k byte-level vocabulary."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), 512)
+
+
+MIX_WEIGHTS = (5, 2, 1)
+MIX_SEED = 20240601
+
+
+@query("op2_pareto_mix", r"""
+WITH docs AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+        (('0x' || substr(md5('20240601|' || coalesce(CAST(doc_id AS VARCHAR), md5(text), '')), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0 AS u,
+        coalesce(CAST(doc_id AS VARCHAR), md5(text), '') AS tie
+    FROM documents),
+sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
+weighed AS (
+    SELECT *, [5.0::DOUBLE, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight, source_size * 2.0::DOUBLE AS cap FROM sizes),
+levels AS (
+    SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE - coalesce(sum(cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM weighed WINDOW w AS (ORDER BY cap / weight, source NULLS LAST)),
+level AS (SELECT level FROM levels WHERE level * weight <= cap ORDER BY cap / weight LIMIT 1),
+targets AS (SELECT source, source_size, least(cap, coalesce((SELECT level FROM level) * weight, cap)) AS target FROM levels),
+plan AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets),
+ranked AS (
+    SELECT d.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS budget,
+        p.source_size > 0 AND p.target / p.source_size > p.whole AS sampled,
+        sum(size) OVER (PARTITION BY d.source ORDER BY u / (1.0::DOUBLE - u), tie) AS through
+    FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target,
+    (whole * size + CASE WHEN sampled AND (through <= budget OR (through - size < budget AND through - budget <= budget - (through - size))) THEN size ELSE 0 END)::BIGINT AS taken
+FROM ranked""")
+def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to weights 5, 2, 1 of the sources in turn, 150 % of the words, twice a source at most."""
+    mixed = mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, share=1.5, most=2.0, seed=MIX_SEED)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query("op6_warc_dictionary", """
+WITH rows AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+digests AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM rows),
+firsts AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM digests)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts""")
+def op6_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, and what the archives say when read again."""
+    manifest = write_archives(table(spark, sf_dir, "pages"))
+    back = read_archives(manifest, with_payload=False)
+    return back.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op8_external_shuffle")
+def op8_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of one random order, read back from what the shuffle wrote."""
+    placed = shuffle_into_shards(table(spark, sf_dir, "documents"), 8, seed=8)
+    text = F.coalesce("text", F.lit(""))
+    return placed.select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
