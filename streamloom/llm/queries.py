@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamloom.llm.common import table
 from streamloom.llm.mixing import mix
+from streamloom.llm.quality import resample
 from streamloom.llm.sharding import shuffle_into_shards
 from streamloom.llm.tokens import count_tokens
 from streamloom.llm.urls import host_of, judge_urls
@@ -106,6 +107,13 @@ def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+@query("op3_importance_resampling")
+def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's importance weight and whether the resample keeps it."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return resample(docs, labels, seed=3).select("doc_id", "log_weight", "gumbel_key", "kept")
+
+
 @query("op6_warc_dictionary", """
 WITH rows AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
 digests AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM rows),
