@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from streamloom.llm.common import table
 from streamloom.llm.mixing import mix
 from streamloom.llm.quality import resample
+from streamloom.llm.rules import judge
 from streamloom.llm.sharding import shuffle_into_shards
 from streamloom.llm.tokens import count_tokens
 from streamloom.llm.urls import host_of, judge_urls
@@ -129,6 +130,14 @@ def op6_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op7_decision_list")
+def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every whole text, the base rules, and the list learned from the quality labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    base = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
+    return judge(docs, labels, base)
+
+
 @query("op8_external_shuffle")
 def op8_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of one random order, read back from what the shuffle wrote."""
