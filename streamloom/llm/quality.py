@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from streamloom.llm.common import bounded, fresh, uniform, written
+from streamloom.llm.common import bounded, fresh, hashed_sample, uniform, written
 from streamloom.shipping import ship_by_value
 
 #: Buckets the n-grams hash into: the size of either model.
@@ -93,8 +93,8 @@ def extractor():
 def fit(docs: DataFrame, labels: DataFrame, key: str, good: str) -> tuple[list[float], DataFrame]:
     """Log ratio of each bucket, target over raw, and the labelled rows used as a small table. ``docs`` has ``key`` and ``text``."""
     used = labels.where(F.col(good).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(good).cast("int").alias("_good"))
-    used = used.groupBy("_key").agg(F.min("_good").alias("_good")).orderBy(F.xxhash64("_key"), "_key").limit(MOST_LABELS)
-    used = written(used, "labels")  # bounded by the limit, so it can be sent to every task
+    used = used.groupBy("_key").agg(F.min("_good").alias("_good"))
+    used = written(hashed_sample(used, MOST_LABELS, "_key"), "labels")  # bounded, so it can be sent to every task
     rows = docs.select(F.col("key").alias("_key"), F.col("text").alias("_text")).join(F.broadcast(used), "_key", "left").select("_text", "_good")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

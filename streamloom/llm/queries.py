@@ -13,6 +13,7 @@ from streamloom.llm.quality import resample
 from streamloom.llm.rules import judge
 from streamloom.llm.sharding import shuffle_into_shards
 from streamloom.llm.tokens import count_tokens
+from streamloom.llm.toxicity import fit, score
 from streamloom.llm.urls import host_of, judge_urls
 from streamloom.llm.warc import read_archives, write_archives
 
@@ -73,6 +74,18 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), 512)
 
 
+@query("op1_toxic_spans")
+def op1_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every whole text; labels are learned from rows whose checksum of the id leaves no remainder 1."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    scored = score(docs, fit(docs, labels.where(~held_out)))
+    return scored.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"), F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
 MIX_WEIGHTS = (5, 2, 1)
 MIX_SEED = 20240601
 

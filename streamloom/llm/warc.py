@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
 
-from streamloom.llm.common import bounded, fresh, written
+from streamloom.llm.common import bounded, fresh, hashed_sample, written
 from streamloom.session import scratch
 from streamloom.shipping import ship_by_value
 
@@ -77,10 +77,8 @@ def write_archives(pages: DataFrame, path: str | None = None, key: str = "page_i
     path = path or scratch(pages.sparkSession, "warc")
     rows = with_first_copy(pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(payload).alias("payload")), "key", "payload", shortest)
     rows = rows.withColumn("kind", F.when(F.col("first").isNull() | F.col("first").eqNullSafe(F.col("key")), "response").otherwise("revisit"))
-    sample: list[Row] = (
-        rows.where((F.col("kind") == "response") & (F.col("n_bytes") <= SAMPLE_BYTES))
-        .orderBy(F.xxhash64("digest", "key"), "digest", "key").limit(SAMPLE_RECORDS).collect()
-    )
+    short = rows.where((F.col("kind") == "response") & (F.col("n_bytes") <= SAMPLE_BYTES))
+    sample: list[Row] = hashed_sample(short, SAMPLE_RECORDS, "digest", "key").collect()
     dictionary = train([record(r.kind, r.key, r.url, r.payload.encode(), r.digest, r.first, date) for r in sample])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
