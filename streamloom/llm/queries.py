@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamloom.llm.common import table
 from streamloom.llm.mixing import mix
+from streamloom.llm.neardup import near_duplicates
 from streamloom.llm.quality import resample
 from streamloom.llm.rules import judge
 from streamloom.llm.sharding import shuffle_into_shards
@@ -160,3 +161,30 @@ def op8_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op10_chosen_path", r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+    FROM split),
+counts AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT a, b FROM pairs JOIN counts p ON p.doc_id = a JOIN counts q ON q.doc_id = b WHERE 100 * i >= 85 * (p.n + q.n - i)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+    SELECT a, b FROM both_ways
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a),
+lowest AS (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, least(d.doc_id, coalesce(l.low, d.doc_id)) AS component_id,
+    d.doc_id = least(d.doc_id, coalesce(l.low, d.doc_id)) AS kept
+FROM documents d LEFT JOIN counts c USING (doc_id) LEFT JOIN lowest l USING (doc_id)""")
+def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose three-word shingles overlap by 85 %."""
+    found = near_duplicates(table(spark, sf_dir, "documents"), 3, (85, 100))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
