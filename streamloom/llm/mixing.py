@@ -100,3 +100,13 @@ def mix(docs: DataFrame, weights: Sequence[float], share: float = 1.5, most: flo
     sampled = (F.col("part") > 0) & F.coalesce(F.when(F.col("cut").isNotNull(), at <= F.col("cut")).otherwise(at < F.col("start")), F.lit(False))
     copies = (F.col("whole") + F.when(sampled, 1).otherwise(0)).cast("long")
     return out.withColumn("copies", copies).select(*[F.col(f"`{c}`") for c in kept], *made)
+
+
+def mixed(docs: DataFrame, weights: Sequence[float], **options) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as ``mix`` says, with its columns alone."""
+    copy = fresh(*docs.columns)
+    # ``mix`` replaces columns of its names, so the user's own are carried under other ones.
+    own = {c: fresh(*docs.columns) for c in docs.columns if c in ("size", "source_size", "target", "copies")}
+    chosen = mix(docs.withColumnsRenamed(own), weights, **options).where("copies > 0")
+    chosen = chosen.withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    return chosen.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])

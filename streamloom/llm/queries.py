@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamloom.llm.common import table
+from streamloom.llm.decontaminate import judge_contamination
 from streamloom.llm.mixing import mix
 from streamloom.llm.neardup import near_duplicates
 from streamloom.llm.quality import resample
@@ -163,6 +164,12 @@ def op8_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_template_decontamination")
+def op9_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document against the templates of the benchmark."""
+    return judge_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op10_chosen_path", r"""
 WITH RECURSIVE split AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
