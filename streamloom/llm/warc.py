@@ -107,7 +107,7 @@ def write_archives(pages: DataFrame, path: str | None = None, key: str = "page_i
                 if out is None or out.tell() >= ARCHIVE_BYTES:
                     close()
                     name, records = f"{folder}/{uuid.uuid4().hex}.warc.zst", 0
-                    out = store.open_output_stream(name)
+                    out = store.open_output_stream(name, compression=None)
                     packed = zstandard.ZstdCompressor(level=19).compress(dictionary)
                     out.write(struct.pack("<II", DICTIONARY_FRAME, len(packed)) + packed)
                 data = record(kind.as_py(), own.as_py(), where.as_py(), body.as_py().encode("utf-8", "surrogatepass"), digest.as_py(), first.as_py(), date)
@@ -167,7 +167,7 @@ def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
                 store, _ = fs.FileSystem.from_uri(folder.as_py())
                 rows: list[tuple] = []
                 held = 0
-                with store.open_input_stream(archive.as_py()) as stream:
+                with store.open_input_stream(archive.as_py(), compression=None) as stream:
                     for row in records(stream):
                         rows.append(row)
                         held += row[5]
