@@ -45,34 +45,34 @@ def _(spark, sf):
 
 @query("full_outer_orders", """
     SELECT o_orderkey AS header_id, o_totalprice AS total_amount, l_orderkey AS order_id, l_partkey AS sku_id
-    FROM (SELECT * FROM orders WHERE o_orderkey % 10 <> 3) FULL OUTER JOIN (SELECT * FROM lineitem WHERE l_linenumber <> 2)
-    ON o_orderkey = l_orderkey""")
+    FROM (SELECT o_orderkey + 4 AS o_orderkey, o_totalprice FROM orders) FULL OUTER JOIN lineitem ON o_orderkey = l_orderkey""")
 def _(spark, sf):
-    headers = order_headers_of(read_table(spark, sf, "orders").filter("o_orderkey % 10 <> 3")).select("id", "total_amount")
-    details = order_details_of(read_table(spark, sf, "lineitem").filter("l_linenumber <> 2")).select("order_id", "sku_id")
+    # Header keys are shifted, so that either side has keys without a partner.
+    headers = order_headers_of(read_table(spark, sf, "orders")).selectExpr("id + 4 AS id", "total_amount")
+    details = order_details_of(read_table(spark, sf, "lineitem")).select("order_id", "sku_id")
     return joins.full_outer_orders(headers, details).withColumnRenamed("id", "header_id")
 
 
 @query("dim_lookup_user", f"""
     WITH {USER_DIM}
     SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, gender AS user_gender, CAST(CAST({AGE} AS BIGINT) AS VARCHAR) AS user_age
-    FROM events LEFT JOIN (SELECT * FROM users WHERE uid % 10 <> 9) ON user_id = uid""")
+    FROM events LEFT JOIN users ON user_id = uid + 2""")
 def _(spark, sf):
     facts = read_table(spark, sf, "events").select("event_id", F.col("user_id").cast("string").alias("user_id"))
-    users = user_dim(spark, sf).filter("CAST(id AS BIGINT) % 10 <> 9")
+    users = user_dim(spark, sf).withColumn("id", (F.col("id").cast("long") + 2).cast("string"))  # the lowest users have no row
     return joins.dim_lookup(facts, "user_id", users, "id", user_attributes(F.lit(TODAY).cast("date")))
 
 
 @query("dim_lookup_province", f"""
     WITH {PROVINCE_DIM}
     SELECT c_custkey, c_nationkey, r_name, province_name, province_iso_code, province_3166 AS province_3166_2, province_area_code
-    FROM customer LEFT JOIN (SELECT * FROM provinces WHERE pid <> 4) ON c_nationkey = pid
+    FROM customer LEFT JOIN provinces ON c_nationkey = pid + 2
     LEFT JOIN (SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) ON c_nationkey = n_nationkey""")
 def _(spark, sf):
     nation, region = read_table(spark, sf, "nation"), read_table(spark, sf, "region")
     regions = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select("n_nationkey", "r_name")
     facts = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    provinces = province_dim(spark, sf).withColumn("id", F.col("id").cast("int")).filter("id <> 4")
+    provinces = province_dim(spark, sf).withColumn("id", F.col("id").cast("int") + 2)  # two provinces have no row
     rows = joins.dim_lookup(facts, "c_nationkey", regions, "n_nationkey", {"r_name": F.col("r_name")})
     return joins.dim_lookup(rows, "c_nationkey", provinces, "id", province_attributes("province_3166_2"))
 
@@ -92,13 +92,13 @@ def _(spark, sf):
 
 
 _ONE = """
-    SELECT c_custkey, c_name, n_nationkey AS cid, n_name AS class_name
-    FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey <> 4) ON c_nationkey = n_nationkey"""
+    SELECT c_custkey, c_name, n_nationkey + 2 AS cid, n_name AS class_name
+    FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey + 2"""
 
 
 def _customers_and_nations(spark, sf):
     customers = read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
-    nations = read_table(spark, sf, "nation").filter("n_nationkey <> 4").selectExpr("n_nationkey AS cid", "n_name AS class_name")
+    nations = read_table(spark, sf, "nation").selectExpr("n_nationkey + 2 AS cid", "n_name AS class_name")
     return customers, nations
 
 
@@ -109,21 +109,22 @@ def _(spark, sf):
     return nested.select("c_custkey", "c_name", "class.cid", "class.class_name")
 
 
-@query("step_association", _ONE)
+@query("step_association", """
+    SELECT n_nationkey + 2 AS cid, n_name AS class_name,
+        coalesce(list({'c_custkey': c_custkey, 'c_name': c_name} ORDER BY c_custkey) FILTER (c_custkey IS NOT NULL), []) AS students
+    FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey + 2 GROUP BY ALL""")
 def _(spark, sf):
     customers, nations = _customers_and_nations(spark, sf)
-    nested = joins.left_join_one(customers, nations, "c_nationkey", "cid", "class")
-    return nested.select("c_custkey", "c_name", F.col("class")["cid"].alias("cid"), F.col("class")["class_name"].alias("class_name"))
+    return joins.left_join_list(nations, customers, "cid", "c_nationkey", "c_custkey", "students")
 
 
 @query("left_join_many", """
-    SELECT n_nationkey AS cid, n_name AS class_name, c_custkey // 1000 AS slice,
+    SELECT n_nationkey + 2 AS cid, n_name AS class_name, c_custkey // 1000 AS slice,
         coalesce(string_agg(c_custkey || ':' || c_name, ',' ORDER BY c_custkey), '') AS students
-    FROM nation LEFT JOIN (SELECT * FROM customer WHERE c_nationkey <> 4) ON c_nationkey = n_nationkey
+    FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey + 2
     GROUP BY ALL""")
 def _(spark, sf):
-    nations = read_table(spark, sf, "nation").selectExpr("n_nationkey AS cid", "n_name AS class_name")
-    customers = read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey").filter("c_nationkey <> 4")
+    customers, nations = _customers_and_nations(spark, sf)
     nested = joins.left_join_many(nations, customers, "cid", "c_nationkey", "c_custkey", "students", slice_ids=1000)
     as_text = F.transform("students", lambda s: F.concat(s["c_custkey"], F.lit(":"), s["c_name"]))
     return nested.withColumn("students", F.array_join(as_text, ","))

@@ -22,7 +22,7 @@ from streamloom.plans.order_wide import order_wide_stream
 from streamloom.session import scratch
 from streamloom.sources.files import read_table, stream_table
 from streamloom.streaming import queries, sinks, stateful
-from streamloom.streaming.run import read_batches, run_latest, run_to_table, start_to_table, with_end_mark
+from streamloom.streaming.run import EndMark, read_batches, run_latest, run_to_table, start_to_table
 
 DELAY = "2 seconds"
 
@@ -32,7 +32,9 @@ def _clicks(spark, sf):
 
 
 def _ending(spark, sf):
-    return clicks_of(with_end_mark(stream_table(spark, sf, "events"), "ts"))
+    """Clicks, and the mark that closes their windows after the last of them."""
+    end = EndMark(spark)
+    return clicks_of(end.on(stream_table(spark, sf, "events"), "ts")), end
 
 
 @query("word_count_stream", f"WITH {WORDS} SELECT word, count(*) AS n FROM words GROUP BY word")
@@ -43,40 +45,45 @@ def _(spark, sf):
 
 @query("tumble_count_stream", TUMBLE)
 def _(spark, sf):
-    return run_to_table(windows.tumble_count(_ending(spark, sf).withWatermark("ts", DELAY), ["url"], DAY)).drop("batch_id")
+    rows, end = _ending(spark, sf)
+    return run_to_table(windows.tumble_count(rows.withWatermark("ts", DELAY), ["url"], DAY), end=end).drop("batch_id")
 
 
 @query("slide_count_stream", SLIDE)
 def _(spark, sf):
-    return run_to_table(queries.sliding_counts(_ending(spark, sf), DAY, DAY // 2, DELAY)).drop("batch_id")
+    rows, end = _ending(spark, sf)
+    return run_to_table(queries.sliding_counts(rows, DAY, DAY // 2, DELAY), end=end).drop("batch_id")
 
 
 @query("session_count_stream", SESSION)
 def _(spark, sf):
-    rows = _ending(spark, sf).withWatermark("ts", DELAY)
-    return run_to_table(windows.session_count_stream(rows, ["user"], SESSION_GAP)).drop("batch_id")
+    rows, end = _ending(spark, sf)
+    return run_to_table(windows.session_count_stream(rows.withWatermark("ts", DELAY), ["user"], SESSION_GAP), end=end).drop("batch_id")
 
 
 @query("topn_two_stage", TOP_TWO)
 def _(spark, sf):
-    path = scratch(spark, "topn")
-    run = queries.start_topn(_ending(spark, sf), DAY, DAY // 2, 2, DELAY, path, scratch(spark, "topn-checkpoint"))
-    run.awaitTermination()
+    rows, end = _ending(spark, sf)
+    path, checkpoint = scratch(spark, "topn"), scratch(spark, "topn-checkpoint")
+    end.run(lambda: queries.start_topn(rows, DAY, DAY // 2, 2, DELAY, path, checkpoint))
     return spark.read.schema("win_start bigint, win_end bigint, url string, count bigint, rank int").parquet(path).drop("batch_id")
 
 
 @query("union_streams_wm_stream", TUMBLE)
 def _(spark, sf):
-    first = with_end_mark(_clicks(spark, sf).filter("seq % 2 = 0"), "ts")
-    second = with_end_mark(_clicks(spark, sf).filter("seq % 2 = 1"), "ts")
+    end = EndMark(spark)
+    first = end.on(_clicks(spark, sf).filter("seq % 2 = 0"), "ts")
+    second = end.on(_clicks(spark, sf).filter("seq % 2 = 1"), "ts")
     both = queries.union_watermarked(first, "2 seconds", second, "5 seconds")
-    return run_to_table(windows.tumble_count(both, ["url"], DAY)).drop("batch_id")
+    return run_to_table(windows.tumble_count(both, ["url"], DAY), end=end).drop("batch_id")
 
 
 @query("timer_event_stream", ORACLES["timer_event"])
 def _(spark, sf):
-    out = run_to_table(stateful.timer_event(_ending(spark, sf), 10 * SECOND, DELAY))
-    return out.filter("user IS NOT NULL").select("user", "at", "kind")
+    rows, end = _ending(spark, sf)
+    out = run_to_table(stateful.timer_event(rows, 10 * SECOND, DELAY), end=end)
+    mark = F.unix_millis(F.lit(EndMark.AT).cast("timestamp"))
+    return out.filter(F.col("at") < mark).select("user", "at", "kind")
 
 
 @query("log_fanout_stream", LOG_TOPICS)
@@ -108,13 +115,15 @@ def _(spark, sf):
     return sinks.read_dimensions(spark, path)
 
 
-@query("dau_stream", f"""
-    WITH full_rows AS ({DAU}) SELECT mid, user_id, user_gender, user_age, province_name, dt FROM full_rows""")
+@query("dau_stream", DAU)
 def _(spark, sf):
-    pages = log_fanout.log_page(log_fanout.parse_logs(raw_logs_of(stream_table(spark, sf, "events")), *log_fanout.PAGE_PARTS))
-    first = first_visits_stream(pages, "1 day")
-    visits = enrich_visits(first, user_dim(spark, sf), province_dim(spark, sf), F.lit(TODAY).cast("date"))
-    return run_to_table(visits).select("mid", "user_id", "user_gender", "user_age", "province_name", "dt")
+    # Files bring their rows in any order, so days stay open for longer than the table spans.
+    end = EndMark(spark)
+    events = _in_files(spark, read_table(spark, sf, "events"), 3)
+    pages = end.on(log_fanout.log_page(log_fanout.parse_logs(raw_logs_of(events), *log_fanout.PAGE_PARTS)), "ts")
+    mark = F.col("ts") >= F.unix_millis(F.lit(EndMark.AT).cast("timestamp"))
+    first = run_to_table(first_visits_stream(pages, "400 days"), end=end).drop("batch_id").filter(~mark)
+    return enrich_visits(first, user_dim(spark, sf), province_dim(spark, sf), F.lit(TODAY).cast("date"))
 
 
 @query("order_wide_stream", ORDER_WIDE)
@@ -179,13 +188,15 @@ def _(spark, sf):
 
 @query("full_outer_orders_stream", ORACLES["full_outer_orders"])
 def _(spark, sf):
-    headers = with_end_mark(stream_table(spark, sf, "orders"), "o_orderdate").filter("o_orderkey % 10 <> 3 OR o_orderkey IS NULL")
-    details = with_end_mark(stream_table(spark, sf, "lineitem"), "l_shipdate").filter("l_linenumber <> 2 OR l_orderkey IS NULL")
-    headers = headers.selectExpr("o_orderkey AS id", "o_totalprice AS total_amount", "CAST(o_orderdate AS TIMESTAMP) AS header_time")
+    end = EndMark(spark)
+    headers = end.on(stream_table(spark, sf, "orders"), "o_orderdate")
+    details = end.on(stream_table(spark, sf, "lineitem"), "l_shipdate")
+    headers = headers.selectExpr("o_orderkey + 4 AS id", "o_totalprice AS total_amount", "CAST(o_orderdate AS TIMESTAMP) AS header_time")
     details = details.selectExpr("l_orderkey AS id", "l_orderkey AS order_id", "l_partkey AS sku_id", "CAST(l_shipdate AS TIMESTAMP) AS detail_time")
     pairs = queries.keyed_join(headers, details, "id", "header_time", "detail_time", "1 day", "4000 days", "full_outer")
-    out = run_to_table(pairs).filter("__key IS NOT NULL OR order_id IS NOT NULL")
-    return out.selectExpr("__key AS header_id", "total_amount", "order_id", "sku_id")
+    out = run_to_table(pairs, end=end)
+    real = F.coalesce("header_time", "detail_time") < F.lit(EndMark.AT).cast("timestamp")
+    return out.filter(real).selectExpr("__key AS header_id", "total_amount", "order_id", "sku_id")
 
 
 @query("sink_routed", f"SELECT topic, value FROM ({CDC_FACTS})")

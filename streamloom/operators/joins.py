@@ -26,8 +26,16 @@ def join_on(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
 
 
 def full_outer_orders(orders: DataFrame, details: DataFrame) -> DataFrame:
-    """Headers and details, each kept without a partner; ``id`` = ``order_id``."""
-    return orders.join(details, orders["id"] == details["order_id"], "full_outer")
+    """Headers and details, each kept without a partner; ``id`` = ``order_id``.
+
+    All details find their headers first, then headers without any detail are added: two left-sided joins, whose hot keys
+    adaptive execution splits, where it cannot split a full outer one. A header key that occurs more than once pairs with each detail.
+    """
+    found = details.join(orders, orders["id"] == details["order_id"], "left")
+    keys = details.select(F.col("order_id").alias("__key")).distinct()
+    alone = orders.join(keys, orders["id"] == F.col("__key"), "left_anti")
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in details.schema.fields]
+    return found.select(*orders.columns, *details.columns).union(alone.select(*orders.columns, *missing))
 
 
 def dim_lookup(facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, attributes: dict[str, Column]) -> DataFrame:
@@ -42,27 +50,39 @@ def left_join_one(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return left.join(nested, left[left_key] == F.col("__key"), "left").drop("__key")
 
 
+def _listed(child: DataFrame, child_id: str) -> Column:
+    return F.array_sort(F.collect_list(F.struct(F.col(child_id), *[F.col(c) for c in child.columns if c != child_id])))
+
+
+def _with_list(parent: DataFrame, folded: DataFrame, parent_key: str, name: str) -> DataFrame:
+    empty = F.array().cast(folded.schema[name].dataType)
+    rows = parent.join(folded, parent[parent_key] == F.col("__key"), "left")
+    return rows.withColumn(name, F.coalesce(name, empty)).drop("__key")
+
+
+def left_join_list(parent: DataFrame, child: DataFrame, parent_key: str, child_key: str, child_id: str, name: str) -> DataFrame:
+    """Each parent as one object with all its children as a nested list, sorted by child id; empty without any.
+
+    For parents whose children fit one value; ``left_join_many`` is for those whose children may not.
+    """
+    others = child.drop(child_key)
+    folded = child.groupBy(F.col(child_key).alias("__key")).agg(_listed(others, child_id).alias(name))
+    return _with_list(parent, folded, parent_key, name)
+
+
 def left_join_many(
     parent: DataFrame, child: DataFrame, parent_key: str, child_key: str, child_id: str, name: str, slice_ids: int = 100_000,
 ) -> DataFrame:
-    """Each parent with its children as a nested list, sorted by child id.
+    """Each parent with its children as nested lists, sorted by child id, in one row per slice of ``slice_ids`` ids.
 
-    ``child_id`` is a unique whole number. A parent's list is cut into slices of ``slice_ids`` ids, one row each,
-    so a parent with very many children never becomes one value; ``slice`` numbers them. Children
-    are folded before they are joined, and a parent without any has one row with an empty list.
+    ``child_id`` is a unique whole number, so a list has ``slice_ids`` children at most and a parent with very many never becomes one
+    value; ``slice`` numbers the slices. Children without an id are spread over slices -1, -2, … by a hash of the row. Children
+    are folded before they are joined, and a parent without any has one row with an empty list and no slice.
     """
-    element = F.struct(F.col(child_id), *[F.col(c) for c in child.columns if c != child_id])
-    folded = (
-        child.withColumn("slice", F.floor(F.col(child_id) / slice_ids))
-        .groupBy(F.col(child_key).alias("__key"), "slice")
-        .agg(F.array_sort(F.collect_list(element)).alias(name))
-    )
-    empty = F.array().cast(folded.schema[name].dataType)
-    return (
-        parent.join(folded, parent[parent_key] == F.col("__key"), "left")
-        .withColumn(name, F.coalesce(name, empty))
-        .drop("__key")
-    )
+    spread = -1 - F.pmod(F.xxhash64(*child.columns), F.lit(1024))
+    sliced = child.withColumn("slice", F.coalesce(F.floor(F.col(child_id) / slice_ids), spread))
+    folded = sliced.groupBy(F.col(child_key).alias("__key"), "slice").agg(_listed(child, child_id).alias(name))
+    return _with_list(parent, folded, parent_key, name)
 
 
 def keep_listed(rows: DataFrame, field: str, listed: DataFrame, list_field: str) -> DataFrame:

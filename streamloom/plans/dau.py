@@ -38,19 +38,13 @@ def daily_active_users(page_log: DataFrame, users: DataFrame, provinces: DataFra
     return enrich_visits(first, users, provinces, today)
 
 
-def first_visits_stream(page_log: DataFrame, delay: str, salts: int = 16) -> DataFrame:
-    """First visit per device and day of a stream; state of a day is dropped once the watermark passes it.
+def first_visits_stream(page_log: DataFrame, delay: str) -> DataFrame:
+    """First visit per device and day of a stream: the row that ``daily_active_users`` keeps, once the watermark passes the day.
 
-    A device with very many rows is first thinned in ``salts`` places, so no task meets all its rows.
+    ``delay`` is how much later than a later visit an earlier one may come; rows beyond it are dropped. State
+    is one row per device and open day, and rows are reduced to that before they are shuffled, so a busy device costs no more than another.
     """
-    timed = filter_first_visit(page_log).withColumns({
-        "event_time": F.timestamp_millis("ts"),
-        "salt": F.pmod(F.xxhash64(*page_log.columns), F.lit(salts)),
-    })
-    return (
-        timed.withWatermark("event_time", delay)
-        .withColumn("day", F.window("event_time", "1 day"))
-        .dropDuplicates(["day", "mid", "salt"])
-        .dropDuplicates(["day", "mid"])
-        .drop("day", "event_time", "salt")
-    )
+    order = ["ts", *[c for c in page_log.columns if c not in ("ts", "mid")]]
+    timed = filter_first_visit(page_log).withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", delay)
+    visits = timed.groupBy(F.window("event_time", "1 day").alias("day"), "mid").agg(F.min(F.struct(*order)).alias("visit"))
+    return visits.select(*[F.col(c) if c == "mid" else F.col("visit")[c].alias(c) for c in page_log.columns])

@@ -52,12 +52,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int | None = None) -> DataFrame:
-    """The parquet files of one table as a stream."""
-    schema: StructType = read_table(spark, sf_dir, name).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """The parquet files of one table, a single file or a folder of part files, as a stream. A table that is not there is an error."""
+    table = read_table(spark, sf_dir, name)
+    reader = spark.readStream.schema(table.schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(sf_dir)
+    files = table.inputFiles()
+    if len(files) == 1 and files[0].endswith(f"/{name}.parquet"):  # a stream reads folders: take the one file out of its folder
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scan_table_by_name(spark: SparkSession, name: str) -> DataFrame:

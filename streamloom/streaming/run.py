@@ -39,29 +39,54 @@ def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(StructType([*schema.fields]).add("batch_id", LongType())).parquet(path)
 
 
-def run_to_table(stream: DataFrame, mode: str = "append") -> DataFrame:
+class EndMark:
+    """Far-future rows that close all windows of a bounded input, once every micro-batch of it has been read.
+
+    ``on`` adds a source that is empty at first; ``run_to_table`` runs the stream over its whole input, however many micro-batches
+    that takes, then writes the rows and runs it again from its checkpoint. So no row of the input meets a watermark that a mark has moved.
+    """
+
+    AT = "9000-01-01 00:00:00"
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.sources: list[tuple[DataFrame, str]] = []
+
+    def on(self, stream: DataFrame, time: str) -> DataFrame:
+        """The stream and its mark: NULL but for ``time`` (a date, timestamp or milliseconds). Apply it before ``withWatermark``; the window of a mark never closes."""
+        path = scratch(self.spark, "end-mark")
+        at = F.lit(self.AT).cast("timestamp")
+        row = self.spark.range(1).select(*[
+            ((F.unix_millis(at) if f.dataType == LongType() else at.cast(f.dataType)) if f.name == time else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in stream.schema.fields
+        ])
+        row.limit(0).write.parquet(path)
+        self.sources.append((row, path))
+        return stream.unionByName(self.spark.readStream.schema(stream.schema).parquet(path))
+
+    def write(self) -> None:
+        for row, path in self.sources:
+            row.write.mode("append").parquet(path)
+
+    def run(self, start: Callable[[], StreamingQuery]) -> None:
+        """Start the query, wait for the end of its input, write the marks, and start it again."""
+        start().awaitTermination()
+        self.write()
+        start().awaitTermination()
+
+
+def run_to_table(stream: DataFrame, mode: str = "append", end: EndMark | None = None) -> DataFrame:
     """Run the stream over what its source holds now and read the output back, with ``batch_id``."""
     spark = stream.sparkSession
     path, checkpoint = scratch(spark, "stream-out"), scratch(spark, "stream-checkpoint")
-    start_to_table(stream, path, checkpoint, mode).awaitTermination()
+    start = lambda: start_to_table(stream, path, checkpoint, mode)
+    if end:
+        end.run(start)
+    else:
+        start().awaitTermination()
     return read_batches(spark, path, stream.schema)
 
 
-def with_end_mark(stream: DataFrame, time: str, end: str = "9000-01-01 00:00:00") -> DataFrame:
-    """The stream with one far-future row, so that a bounded input closes all its windows at the end.
-
-    Apply it before ``withWatermark``; the row's own window never closes, so it is never part of a result.
-    For a source read in one micro-batch: rows of a later batch would find the watermark past them.
-    """
-    spark, path = stream.sparkSession, scratch(stream.sparkSession, "end-mark")
-    mark = [
-        (F.lit(end).cast(f.dataType) if f.name == time else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in stream.schema.fields
-    ]
-    spark.range(1).select(*mark).write.parquet(path)
-    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(path))
-
-
 def latest(updates: DataFrame, keys: list[str]) -> DataFrame:
     """Last update per key of an update-mode stream."""
     return first_per_key(updates, keys, [F.col("batch_id").desc()]).drop("batch_id")

@@ -136,6 +136,23 @@ def test_students_and_classes(spark):
     sliced = joins.left_join_many(classes, students, "cid", "studentClass", "sid", "students", slice_ids=3)
     assert sorted((r["cid"], r["slice"], [s["sid"] for s in r["students"]]) for r in sliced.filter("cid = 1").collect()) == [
         (1, 0, [2]), (1, 1, [5])]
+    whole = joins.left_join_list(classes, students, "cid", "studentClass", "sid", "students").collect()
+    assert {r["cid"]: [s["sid"] for s in r["students"]] for r in whole} == {1: [2, 5], 2: [1], 9: []}
+
+
+def test_children_without_an_id_are_spread(spark):
+    child = spark.createDataFrame([(None, f"n{i}", 1) for i in range(3000)] + [(1, "x", 1), (150_000, "y", 1)], "sid int, name string, cid int")
+    parent = spark.createDataFrame([(1,), (2,)], "cid int")
+    got = joins.left_join_many(parent, child, "cid", "cid", "sid", "kids").collect()
+    assert sum(len(r["kids"]) for r in got) == 3002 and max(len(r["kids"]) for r in got) < 30
+    assert [(r["cid"], r["slice"], len(r["kids"])) for r in got if r["slice"] is None or r["slice"] >= 0] and [r["slice"] for r in got if r["cid"] == 2] == [None]
+
+
+def test_full_outer_keeps_lonely_rows_of_either_side(spark, rows):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "n")], "id int, x string")
+    right = spark.createDataFrame([(1, "p"), (3, "q"), (None, "m"), (1, "r")], "order_id int, y string")
+    want = left.join(right, left["id"] == right["order_id"], "full_outer")
+    assert rows(joins.full_outer_orders(left, right)) == rows(want)
 
 
 def test_edits(spark, rows):

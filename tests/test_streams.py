@@ -11,7 +11,7 @@ from streamloom.session import scratch
 from streamloom.sources.files import read_clicks, read_text
 from streamloom.streaming import queries, sinks, stateful
 from streamloom.streaming.lateness import LateTumblingCount
-from streamloom.streaming.run import read_batches, run_latest, run_to_table, start_to_table, with_end_mark
+from streamloom.streaming.run import EndMark, read_batches, run_latest, run_to_table, start_to_table
 
 FAR = ("end", "./end", 4102444800000)
 
@@ -47,8 +47,9 @@ def test_running_word_count_reports_every_update(spark, tmp_path, rows):
     lambda df: windows.session_count_stream(df, ["user"], 2000),
 ])
 def test_streams_equal_batch(spark, tmp_path, rows, make):
-    stream = with_end_mark(feed(spark, tmp_path / "in", CLICKS, 100), "ts").withWatermark("ts", "2 seconds")
-    got = run_to_table(make(stream)).drop("batch_id")
+    end = EndMark(spark)
+    stream = end.on(feed(spark, tmp_path / "in", CLICKS), "ts").withWatermark("ts", "2 seconds")  # a file per micro-batch
+    got = run_to_table(make(stream), end=end).drop("batch_id")
     assert rows(got, *sorted(got.columns)) == rows(make(clicks(spark, CLICKS)), *sorted(got.columns))
 
 
@@ -59,14 +60,16 @@ def test_processing_time_windows_run(spark, tmp_path, rows):
 
 
 def test_distinct_users_of_a_stream(spark, tmp_path, rows):
-    stream = with_end_mark(feed(spark, tmp_path / "in", CLICKS, 100), "ts").withWatermark("ts", "2 seconds")
-    assert rows(run_to_table(windows.window_uv_stream(stream, "user", 5000)), "win_start", "uv") == [(0, 3), (5000, 2)]
+    end = EndMark(spark)
+    stream = end.on(feed(spark, tmp_path / "in", CLICKS, 100), "ts").withWatermark("ts", "2 seconds")
+    assert rows(run_to_table(windows.window_uv_stream(stream, "user", 5000), end=end), "win_start", "uv") == [(0, 3), (5000, 2)]
 
 
 def test_top_two_of_closing_windows(spark, tmp_path, rows):
-    stream = with_end_mark(feed(spark, tmp_path / "in", CLICKS, 100), "ts")
-    path = scratch(spark, "top")
-    queries.start_topn(stream, 10_000, 5000, 2, "2 seconds", path, scratch(spark, "top-checkpoint")).awaitTermination()
+    end = EndMark(spark)
+    stream = end.on(feed(spark, tmp_path / "in", CLICKS, 100), "ts")
+    path, checkpoint = scratch(spark, "top"), scratch(spark, "top-checkpoint")
+    end.run(lambda: queries.start_topn(stream, 10_000, 5000, 2, "2 seconds", path, checkpoint))
     got = spark.read.schema("win_start bigint, win_end bigint, url string, count bigint, rank int").parquet(path)
     assert rows(got, "win_start", "rank", "url", "count") == sorted(
         [(-5000, 1, "./cart", 2), (-5000, 2, "./home", 1), (0, 1, "./home", 4), (0, 2, "./cart", 3), (5000, 1, "./home", 3),
@@ -277,3 +280,30 @@ def test_log_rules(spark, tmp_path, rows):
     assert counts == {log_fanout.TOPICS[k]: n for k, n in {"error": 1, "page": 2, "action": 2, "display": 1, "start": 2}.items()}
     values = [r["value"] for r in log_fanout.route_logs(raw).collect()]
     assert '{"mid":"m2","entry":"notice","ts":30}' in values
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_tables_of_one_or_several_files_stream(spark, tmp_path, sf, files):
+    from streamloom.sources.files import read_table, stream_table
+
+    read_table(spark, sf, "events").repartition(files).write.parquet(str(tmp_path / "events.parquet"))
+    for folder in (str(tmp_path), sf):
+        rows = run_to_table(stream_table(spark, folder, "events", files_per_batch=1))
+        assert rows.count() == read_table(spark, sf, "events").count()
+    with pytest.raises(Exception, match="nowhere"):
+        stream_table(spark, str(tmp_path), "nowhere")
+
+
+def test_first_visit_of_a_disordered_stream(spark, tmp_path):
+    """Several files, late rows in later ones: the earliest row per device and day, and all of it."""
+    from streamloom.plans.dau import first_visits_stream
+
+    day = 86_400_000
+    rows = [("m1", None, 5000, "c"), ("m1", None, 9000, "d"), ("m2", "home", 10, "x"), ("m2", None, day + 7, "e"), ("m1", None, 1000, "a"), ("m1", None, 1000, "b"), ("m1", None, day + 1, "f")]
+    schema = "mid string, last_page_id string, ts long, page_id string"
+    for i, row in enumerate(rows):
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    end = EndMark(spark)
+    stream = end.on(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), "ts")
+    got = run_to_table(first_visits_stream(stream, "2 days"), end=end).filter("mid IS NOT NULL")
+    assert sorted((r.mid, r.ts, r.page_id) for r in got.collect()) == [("m1", 1000, "a"), ("m1", day + 1, "f"), ("m2", day + 7, "e")]
