@@ -19,11 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` as a table in the shared scratch folder: lineage ends there, and losing an executor loses nothing."""
+#: Rows a file of a thin table should have at least, where the number of rows is known beforehand.
+ROWS_PER_FILE = 200_000
+
+
+def written(df: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
+    """``df`` as a table in the shared scratch folder: lineage ends there, and losing an executor loses nothing.
+
+    ``rows`` is an upper bound of a thin table's rows. It gets so few files that they aren't tiny; a table that fits one file is read as one
+    partition, and what is done with such tables alone needs no shuffle.
+    """
     path = scratch(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    files = None if rows is None else max(1, -(-rows // ROWS_PER_FILE))
+    (df.coalesce(files) if files else df).write.parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    return back.coalesce(1) if files == 1 else back
 
 
 def fresh(*taken: str) -> str:
@@ -60,7 +70,7 @@ def uniform(*parts: Column | str | int) -> Column:
 def bounded(df: DataFrame, most: int) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``most`` rows; otherwise as it is, for a shuffled join.
 
-    Call with a written table: its rows are counted.
+    Call with a written or persisted table: its rows are counted.
     """
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
