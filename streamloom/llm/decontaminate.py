@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from streamloom.llm.common import bounded, fresh, written
+from streamloom.llm.common import bounded, fresh
 
 #: Tokens in a window, and how many of them must be plain words.
 WINDOW, PLAIN = 8, 5
@@ -57,7 +57,7 @@ def benchmark_windows(benchmark: DataFrame, key: str, text: str) -> tuple[DataFr
     """
     items = benchmark.where(F.col(text).isNotNull()).groupBy(F.col(text).alias("body")).agg(F.min(key).alias("item_id"))
     items = items.select("item_id", F.xxhash64("body").alias("item"), raw_tokens(F.col("body")).alias("raw")).where(F.size("raw") > 0)
-    items = written(items.withColumn("template", template(F.col("raw"))), "items")
+    items = items.withColumn("template", template(F.col("raw"))).persist()
     length = F.least(F.size("template"), F.lit(WINDOW))
     starts = F.sequence(F.lit(0), F.size("template") - length)
     rows = items.select("item", "template", length.alias("length"), F.explode(starts).alias("q"))
@@ -68,7 +68,7 @@ def benchmark_windows(benchmark: DataFrame, key: str, text: str) -> tuple[DataFr
     by_length = F.coalesce(*[F.when(F.col("length") == n, F.xxhash64(F.lit(n), *[F.xxhash64(F.get("part", F.lit(k))) for k in range(n)])) for n in range(1, WINDOW + 1)])
     rows = rows.select(by_length.alias("h"), "item", "q", "length")
     counts = rows.groupBy(F.col("item").alias("_item")).agg(F.count("*").alias("n_windows"))
-    return items, written(rows.join(counts, F.col("item") == F.col("_item")).drop("_item"), "item-windows")
+    return items, rows.join(counts, F.col("item") == F.col("_item")).drop("_item").persist()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -92,10 +92,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     hits = hits.select("tie", "item", (F.col("p") - F.col("q")).alias("shift"), "q", "length", "n_windows")
     runs = hits.groupBy("tie", "item", "shift").agg(F.collect_set("q").alias("qs"), F.first("length").alias("length"), F.first("n_windows").alias("n_windows"))
     runs = runs.withColumn("share", F.size("qs") / F.col("n_windows")).where(F.col("share") >= COVER)
-    runs = written(runs, "runs")
+    runs = runs.persist()  # few rows after a long scan; what a lost executor held is scanned again
 
     # Slot consistency needs the values: only texts with a run are read for them, each once.
-    checked = bounded(written(runs.select(F.col("tie").alias("_tie")).distinct(), "checked"), MOST_CHECKED)
+    checked = bounded(runs.select(F.col("tie").alias("_tie")).distinct(), MOST_CHECKED)
     bodies = rows.select("tie", "body").join(checked, F.col("tie") == F.col("_tie"), "left_semi").groupBy("tie").agg(F.first("body").alias("body"))
     bodies = bodies.withColumn("raw", raw_tokens(F.col("body"))).withColumn("template", template(F.col("raw"))).select(F.col("tie").alias("_tie"), F.col("raw").alias("doc_raw"), F.col("template").alias("doc_template"))
     own = items.select(F.col("item").alias("_item"), "item_id", "raw", "template")
@@ -111,7 +111,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
 def judge_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``contaminated``, ``item_id``, ``n_items`` and ``share`` for every row of ``docs``; other columns are ignored."""
-    found = written(contaminated(docs, benchmark, key, text), "contaminated").withColumnRenamed("tie", "_tie")
+    found = contaminated(docs, benchmark, key, text).withColumnRenamed("tie", "_tie").persist()
     rows = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_own"), F.col(text).isNotNull().alias("_any"))
     out = rows.join(bounded(found, MOST_CHECKED), F.col("_any") & (F.col("_own") == F.col("_tie")), "left")
     return out.select(F.col("_key").alias(key), F.col("_tie").isNotNull().alias("contaminated"), "item_id", F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("share", F.lit(0.0)).alias("share"))
@@ -120,5 +120,5 @@ def judge_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_i
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without a benchmark item, with all their columns."""
     tie = fresh(*docs.columns)
-    found = written(contaminated(docs, benchmark, key, text).select(F.col("tie").alias(tie)), "contaminated")
+    found = contaminated(docs, benchmark, key, text).select(F.col("tie").alias(tie)).persist()
     return docs.join(bounded(found, MOST_CHECKED), F.col(text).isNotNull() & (F.xxhash64(text) == F.col(tie)), "left_anti")
