@@ -184,10 +184,10 @@ def test_archives_stand_alone_and_roll(spark, tmp_path, monkeypatch):
 
     import zstandard
 
-    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000)
-    pages = spark.range(300).select(F.col("id").alias("page_id"), F.lit("http://u").alias("url"), F.concat(F.lit("<p>some common words of a page "), F.sha2(F.col("id").cast("string"), 256)).alias("html"))
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 150_000)
+    pages = spark.range(0, 6000, 1, 1).select(F.col("id").alias("page_id"), F.lit("http://u").alias("url"), F.concat(F.lit("<p>some common words of a page "), F.sha2(F.col("id").cast("string"), 256)).alias("html"))
     manifest = warc.write_archives(pages, str(tmp_path / "w")).collect()
-    assert len(manifest) > 1 and sum(m.records for m in manifest) == 300
+    assert len(manifest) > 1 and sum(m.records for m in manifest) == 6000
     data = Path(manifest[0].archive).read_bytes()
     magic, size = struct.unpack("<II", data[:8])
     assert magic == warc.DICTIONARY_FRAME
