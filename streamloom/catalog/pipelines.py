@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from streamloom.catalog.joins import AGE, PROVINCE_DIM, TODAY, USER_DIM
 from streamloom.catalog.registry import query
 from streamloom.operators.ranking import dedup_daily
+from streamloom.operators.placement import over_all_cores
 from streamloom.operators.project import filter_first_visit
 from streamloom.functions.clock import day_of
 from streamloom.plans import cdc, log_fanout
 from streamloom.plans.dau import daily_active_users
-from streamloom.plans.derived import changes, order_details_of, order_headers_of, province_dim, raw_logs, user_dim
+from streamloom.plans.derived import changes, order_details_of, order_headers_of, province_dim, raw_logs, raw_logs_of, user_dim
 from streamloom.plans.order_wide import order_wide
 from streamloom.sources.files import read_table
 
@@ -99,7 +100,8 @@ def topic_summary(messages):
 
 @query("log_fanout", LOG_TOPICS)
 def _(spark, sf):
-    return topic_summary(log_fanout.route_logs(raw_logs(spark, sf)))
+    events = over_all_cores(read_table(spark, sf, "events"))
+    return topic_summary(log_fanout.route_logs(raw_logs_of(events)))
 
 
 # --- change routing ----------------------------------------------------------------------------
@@ -117,7 +119,7 @@ def dim_tables(spark, sf):
 
 CDC_FACTS = """
     SELECT o_orderkey AS seq, 'DWD_ORDER_INFO_' || CASE o_orderkey % 5 WHEN 1 THEN 'U' WHEN 2 THEN 'D' ELSE 'I' END AS topic,
-        '{"id":' || o_orderkey || ',"user_id":' || o_custkey || ',"order_status":"' || o_orderstatus || '"}' AS value
+        '{"id":' || o_orderkey || ',"user_id":' || o_custkey || ',"order_status":"' || o_orderstatus || '","total_amount":' || CAST(o_totalprice AS DECIMAL(15,2)) || '}' AS value
     FROM orders WHERE o_orderkey % 5 <> 4"""
 
 

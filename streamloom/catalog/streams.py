@@ -147,14 +147,15 @@ def _(spark, sf):
 
 @query("sink_labelled", f"""
     WITH {CLICKS}
-    SELECT CASE WHEN url = 'error' THEN 'later' ELSE 'first' END AS label, count(*) AS n FROM clicks GROUP BY 1""")
+    SELECT CASE WHEN url = 'error' THEN 'later' ELSE 'first' END AS label,
+        '{{"user":"' || "user" || '","url":"' || url || '","timestamp":' || ts_ms || '}}' AS value FROM clicks""")
 def _(spark, sf):
     path = scratch(spark, "labelled")
     for label, rows in {"first": "url <> 'error'", "later": "url = 'error'"}.items():
         stream = _clicks(spark, sf).filter(rows).select("user", "url", "timestamp")
         writer = sinks.sink_labelled(stream, label, path, scratch(spark, "labelled-checkpoint"))
         writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(path).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(path).select("label", "value")
 
 
 def _in_files(spark, df, files):
@@ -199,10 +200,10 @@ def _(spark, sf):
     return out.filter(real).selectExpr("__key AS header_id", "total_amount", "order_id", "sku_id")
 
 
-@query("sink_routed", f"SELECT topic, value FROM ({CDC_FACTS})")
+@query("sink_routed", f"SELECT CAST(seq AS VARCHAR) AS key, topic, value FROM ({CDC_FACTS})")
 def _(spark, sf):
     facts = cdc.fact_changes(_change_stream(spark, sf), fact_tables(spark, sf))
     messages = sinks.routed(facts, F.col("topic"), F.col("value"), F.col("seq"))
     path = scratch(spark, "routed")
     sinks.sink_routed_files(messages, path, scratch(spark, "routed-checkpoint")).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema("key string, value string, topic string").parquet(path).select("topic", "value")
+    return spark.read.schema("key string, value string, topic string").parquet(path).select("key", "topic", "value")

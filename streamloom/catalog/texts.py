@@ -8,6 +8,7 @@ from streamloom.catalog.joins import TODAY
 from streamloom.catalog.registry import LINES, query
 from streamloom.functions import clock, text
 from streamloom.functions.arithmetic import calculate
+from streamloom.operators.placement import over_all_cores
 from streamloom.plans.cdc import operation
 from streamloom.plans.derived import clicks
 from streamloom.sources.files import read_table
@@ -98,7 +99,8 @@ def _(spark, sf):
         F.lit("("), F.col("l_quantity"), F.lit("*"), F.col("l_extendedprice"), F.lit(" + "), F.col("l_tax"),
         F.lit(") / (1+"), F.col("l_discount"), F.lit(")"),
     )
-    rows = read_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", calculate(expression).alias("value"))
+    needed = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_tax", "l_discount"]
+    rows = over_all_cores(read_table(spark, sf, "lineitem").select(*needed)).select("l_orderkey", "l_partkey", calculate(expression).alias("value"))
     return rows.withColumn("value", F.col("value").cast("double"))
 
 
@@ -122,7 +124,8 @@ def _(spark, sf):
         digit(part, 1000), F.lit("仟"), digit(part, 100), F.lit("佰"), digit(part, 10), F.lit("拾"), digit(part, 1),
         F.lit("元整"), digit(order, 10), F.lit("角"), digit(order, 1), F.lit("分"),
     )
-    rows = read_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", text.numeral_to_number(numeral).alias("number"))
+    keys = over_all_cores(read_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey"))
+    rows = keys.select("l_orderkey", "l_partkey", text.numeral_to_number(numeral).alias("number"))
     return rows.withColumn("number", F.col("number").cast("double"))
 
 

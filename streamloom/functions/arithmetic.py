@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -83,14 +84,26 @@ def evaluate(text: str | None) -> float | None:
 
 
 def number_text(value: float | None) -> str | None:
-    """Whole numbers without a fraction part, others in shortest form."""
+    """The text a Java script engine gives a number: whole ones of 32 bits as integers, others as ``Double.toString`` does.
+
+    That is plain from a thousandth to ten millions, and with an exponent (``5.0E-4``, ``1.0E10``) beyond.
+    """
     if value is None:
         return None
     if math.isnan(value):
         return "NaN"
     if math.isinf(value):
         return "Infinity" if value > 0 else "-Infinity"
-    return str(int(value)) if value == int(value) and abs(value) < 2**31 else repr(value)
+    if value == int(value) and abs(value) < 2**31:
+        return str(int(value))
+    sign, digits, exponent = Decimal(repr(value)).normalize().as_tuple()
+    text, place = "".join(map(str, digits)), len(digits) + exponent  # 0.text times ten to the place
+    if 1e-3 <= abs(value) < 1e7:
+        text = text.ljust(max(place, 0), "0").rjust(len(text) - min(place, 0), "0")
+        whole, part, power = text[: max(place, 0)] or "0", text[max(place, 0) :] or "0", ""
+    else:
+        whole, part, power = text[0], text[1:] or "0", f"E{place - 1}"
+    return f"{'-' * sign}{whole}.{part}{power}"
 
 
 @F.pandas_udf(StringType())

@@ -15,6 +15,36 @@ def parsed(text: str, fields: dict[str, str]) -> Column:
     return F.inline(F.array(F.from_json(text, schema)))
 
 
-def to_rows(df: DataFrame, text: str, fields: dict[str, str]) -> DataFrame:
-    """Replace the ``text`` column by the fields of its JSON; a broken text gives NULL fields."""
-    return df.select(*[c for c in df.columns if c != text], parsed(text, fields))
+#: How deep an object may be nested for ``raw_object`` to find its end.
+DEPTH = 8
+
+_STRING = r'"(?:[^"\\]++|\\[\s\S])*+"'
+
+
+def _nested(depth: int) -> str:
+    inner = f"|{_nested(depth - 1)}" if depth else ""
+    return rf'[{{\[](?:[^{{}}\[\]"]++|{_STRING}{inner})*+[}}\]]'
+
+
+def raw_object(text: Column, name: str) -> Column:
+    """The object or list under a top-level name of a JSON text, character for character; NULL if there is none.
+
+    A parsed and rewritten object would lose digits and closing zeros of its numbers.
+    """
+    value = _nested(DEPTH)
+    member = rf'\s*+{_STRING}\s*+:\s*+(?:{_STRING}|{value}|[^,{{}}\[\]"]++)\s*+,'
+    found = F.regexp_extract(text, rf'^\s*+\{{(?:{member})*?\s*+"{name}"\s*+:\s*+({value})', 1)
+    return F.when(found != "", found)
+
+
+def to_rows(df: DataFrame, text: str, fields: dict[str, str], raw: tuple[str, ...] = ()) -> DataFrame:
+    """Replace the ``text`` column by the fields of its JSON; a broken text gives NULL fields.
+
+    The fields named in ``raw`` are text and come as they stand in it.
+    """
+    others, kept = [c for c in df.columns if c != text], [n for n in raw if n in fields]
+    if not kept:
+        return df.select(*others, parsed(text, fields))
+    rows = df.select(*others, F.col(text).alias("__text"), parsed(text, fields))
+    exact = {n: F.when(F.col(n).isNotNull(), F.coalesce(raw_object(F.col("__text"), n), n)) for n in kept}
+    return rows.withColumns(exact).drop("__text")

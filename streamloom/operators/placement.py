@@ -18,6 +18,12 @@ def rebalance(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
 
 
+def over_all_cores(scan: DataFrame) -> DataFrame:
+    """Rows of a scan that has fewer splits than the cluster has cores, dealt out before heavy work; any other scan as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def rescale(df: DataFrame, n: int, grow: bool = False) -> DataFrame:
     """Fewer partitions without a shuffle; to ``grow`` needs one."""
     return df.repartition(n) if grow else df.coalesce(n)

@@ -9,7 +9,7 @@ from typing import Any
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from streamloom.shipping import ship_by_value
 
@@ -41,7 +41,9 @@ def aggregate_with(df: DataFrame, key: str, user: UserAggregate, result_type: st
     Each task folds its rows to one accumulator per key; accumulators meet first in ``fan_in`` groups per key
     and then once per key. Meeting ones are merged as a sorted run, one at a time. Prefer built-in aggregates where they can say the same.
     """
-    key_type = df.schema[key].dataType.simpleString()
+    # Keys meet as text: a whole-number column with a NULL in it would reach pandas as doubles, and large keys would fall together.
+    key_type, own = df.schema[key].dataType.simpleString(), key
+    df, key = df.withColumn("__key", F.col(key).cast("string")), "__key"
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[Any, Any] = {}
@@ -102,10 +104,10 @@ def aggregate_with(df: DataFrame, key: str, user: UserAggregate, result_type: st
     def finish(batches):
         return merge_runs(batches, user.result)
 
-    partial = df.mapInPandas(fold, f"`{key}` {key_type}, part int, acc binary")
+    partial = df.mapInPandas(fold, f"`{key}` string, part int, acc binary")
     merged = (
         partial.repartition(key, "part").sortWithinPartitions(key, "part")
-        .mapInPandas(merge_part, f"`{key}` {key_type}, out binary").withColumnRenamed("out", "acc")
+        .mapInPandas(merge_part, f"`{key}` string, out binary").withColumnRenamed("out", "acc")
     )
-    finished = merged.repartition(key).sortWithinPartitions(key).mapInPandas(finish, f"`{key}` {key_type}, out {result_type}")
-    return finished.withColumnRenamed("out", name)
+    finished = merged.repartition(key).sortWithinPartitions(key).mapInPandas(finish, f"`{key}` string, out {result_type}")
+    return finished.select(F.col(key).cast(key_type).alias(own), F.col("out").alias(name))

@@ -23,11 +23,11 @@ def operation(change: Column) -> Column:
 
 
 def parse_changes(raw: DataFrame) -> DataFrame:
-    """JSON text in ``value`` → ``type, table, data`` (data as JSON text) and ``op``; unknown types are dropped.
+    """JSON text in ``value`` → ``type, table, data`` (data as it stands in the text) and ``op``; unknown types are dropped.
 
     Other columns of ``raw`` are kept.
     """
-    rows = to_rows(raw, "value", CDC)
+    rows = to_rows(raw, "value", CDC, raw=("data",))
     return rows.withColumn("op", operation(F.col("type"))).filter("op IS NOT NULL")
 
 
@@ -42,7 +42,7 @@ def dim_changes(changes: DataFrame, dim_tables: DataFrame) -> DataFrame:
     """Changes of dimension tables as ``(key, value)``; a delete is a change like any other."""
     dims = keep_listed(changes, "table", dim_tables, "name")
     others = [c for c in dims.columns if c not in ("type", "table", "data", "op")]
-    key = upper_name("DIM", F.col("table"), F.get_json_object("data", "$.id"))
+    key = upper_name("DIM", F.col("table"), F.coalesce(F.get_json_object("data", "$.id"), F.lit("null")))
     return dims.select(*others, key.alias("key"), F.col("data").alias("value"))
 
 
@@ -51,10 +51,17 @@ def dim_snapshot(keyed: DataFrame, seq: str = "seq") -> DataFrame:
     return first_per_key(keyed, ["key"], [F.col(seq).desc()]).select("key", "value")
 
 
-def dim_rows(snapshot: DataFrame, table: str, fields: dict[str, str]) -> DataFrame:
-    """Rows of one dimension out of the snapshot: ``id`` and the JSON ``fields`` (name → path)."""
+def dim_rows(snapshot: DataFrame, table: str, fields: dict[str, str], tables: list[str]) -> DataFrame:
+    """Rows of one dimension out of the snapshot: ``id`` and the JSON ``fields`` (name → path).
+
+    ``tables`` names all dimensions: a key belongs to the one with the longest name that fits, so ``user`` gets no row of ``user_info``.
+    """
     prefix = f"DIM_{table.upper()}_"
-    return snapshot.filter(F.col("key").startswith(prefix)).select(
+    mine = F.col("key").startswith(prefix)
+    for other in tables:
+        if other.upper().startswith(f"{table.upper()}_"):
+            mine &= ~F.col("key").startswith(f"DIM_{other.upper()}_")
+    return snapshot.filter(mine).select(
         F.substr("key", F.lit(len(prefix) + 1)).alias("id"),
         *[F.get_json_object("value", f"$.{path}").alias(name) for name, path in fields.items()],
     )

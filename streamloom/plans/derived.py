@@ -109,7 +109,8 @@ def changes(spark: SparkSession, sf: str) -> DataFrame:
         F.when(key % 5 == 0, "insert").when(key % 5 == 1, "update").when(key % 5 == 2, "delete")
         .when(key % 5 == 3, "bootstrap-insert").otherwise("ddl")
     )
-    order = F.struct(key.alias("id"), F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("order_status"))
+    order = F.struct(key.alias("id"), F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("order_status"),
+                     F.col("o_totalprice").cast("decimal(15,2)").alias("total_amount"))
     orders = read_table(spark, sf, "orders").select(*_change(kind, "order_info", order, key))
 
     customer = read_table(spark, sf, "customer").withColumn(

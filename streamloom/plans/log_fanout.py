@@ -64,7 +64,7 @@ def _is_page() -> Column:
 
 def parse_logs(raw: DataFrame, *parts: str) -> DataFrame:
     """Parse each text once, reading only the ``parts`` named (default: all). Batch or streaming."""
-    return to_rows(raw.select("value"), "value", {p: RAW_LOG[p] for p in parts or RAW_LOG})
+    return to_rows(raw.select("value"), "value", {p: RAW_LOG[p] for p in parts or RAW_LOG}, raw=("err",))
 
 
 def log_error(logs: DataFrame) -> DataFrame:

@@ -157,7 +157,7 @@ def test_full_outer_keeps_lonely_rows_of_either_side(spark, rows):
 
 def test_edits(spark, rows):
     emp = spark.createDataFrame([(1, "a", None), (2, "b", 1.0), (3, "c", 9.0)], "empno int, ename string, comm double")
-    assert (8888, "peng", None) in rows(table_edits.insert_row(emp, empno=8888, ename="peng"))
+    assert (8888, "ann", None) in rows(table_edits.insert_row(emp, empno=8888, ename="ann"))
     assert rows(table_edits.update_where(emp, F.col("comm") > 5, ename=F.lit("z")), "ename") == [("a",), ("b",), ("z",)]
     assert rows(table_edits.delete_where(emp, F.col("comm") > 5), "empno") == [(1,), (2,)]
     gone = spark.createDataFrame([(1,), (3,), (None,)], "k int")
@@ -212,3 +212,5 @@ def test_user_aggregate_merges_parts(spark, rows):
     df = spark.range(0, 1000, 1, 7).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, "b").alias("k"), F.col("id").alias("v"))
     expected = [tuple(r) for r in df.groupBy("k").agg(F.avg("v")).collect()]
     assert rows(aggregate_with(df, "k", Mean(), "double", "mean", fan_in=3)) == sorted(expected, key=repr)
+    keys = spark.createDataFrame([(9007199254740993, 1), (9007199254740992, 2), (None, 3), (None, 5)], "k bigint, v int")
+    assert rows(aggregate_with(keys, "k", Mean(), "double", "mean")) == sorted([(9007199254740993, 1.0), (9007199254740992, 2.0), (None, 4.0)], key=repr)

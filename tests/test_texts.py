@@ -78,6 +78,22 @@ def test_arithmetic(spark):
     for (case, want), value in zip(cases.items(), got):
         assert (value is None) if want is None else float(value) == pytest.approx(want, rel=1e-12), case
     assert number_text(evaluate("1/0")) == "Infinity" and number_text(evaluate("0/0")) == "NaN" and number_text(evaluate("6/3")) == "2"
+    texts = {"1/2000": "5.0E-4", "100000*100000": "1.0E10", "1e8*1e9": "1.0E17", "2147483648*1": "2.147483648E9", "2147483647*1": "2147483647",
+             "1/8": "0.125", "-5/1000": "-0.005", "12345678.5*1": "1.23456785E7", "1234567.25*1": "1234567.25", "1/3000000": "3.3333333333333335E-7"}
+    assert {t: number_text(evaluate(t)) for t in texts} == texts
+
+
+def test_objects_pass_as_they_stand(spark):
+    from streamloom.plans.cdc import dim_changes, dim_rows, parse_changes
+
+    data = '{"id": 7, "a":100.10,"b" : 12345678901234567.89, "s":"x\\"}{", "o":{"data":[1.50, {"k":1e400}]}}'
+    rows = [('{"old":{"data":{"z":1}}, "type":"insert","n":[1,{"data":{}}],"table":"user_info","data":%s}' % data,), ('{"type":"update","table":"user","data":{"x":1}}',), ("{broken",)]
+    got = parse_changes(spark.createDataFrame(rows, "value string"))
+    assert sorted(r.data for r in got.collect()) == sorted([data, '{"x":1}'])
+    names = spark.createDataFrame([("user",), ("user_info",)], "name string")
+    keyed = dim_changes(got, names)
+    assert sorted(r.key for r in keyed.collect()) == ["DIM_USER_INFO_7", "DIM_USER_null"]
+    assert [r.id for r in dim_rows(keyed, "user", {"x": "x"}, ["user", "user_info"]).collect()] == ["null"]
 
 
 def test_a_long_text_is_evaluated_whole():
