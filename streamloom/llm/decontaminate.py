@@ -33,7 +33,7 @@ def raw_tokens(text: Column) -> Column:
 
 def template(raw: Column) -> Column:
     """The template of an array of tokens: ``<num>``, ``<name>``, ``<unit>`` or the word in lower case."""
-    number = lambda x: x < ":"  # noqa: E731  digits come before it and letters after
+    number = lambda x: (x >= "0") & (x < ":")  # noqa: E731  the tokens that begin with a digit
 
     def slot(x: Column, i: Column) -> Column:
         small = F.lower(x)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamloom.llm.common import table
-from streamloom.llm.decontaminate import judge_contamination
+from streamloom.llm.decontaminate import COVER, CONFLICTS, PLAIN, TOKEN, UNITS, WINDOW, judge_contamination
 from streamloom.llm.mixing import mix
 from streamloom.llm.neardup import near_duplicates
 from streamloom.llm.quality import resample
@@ -164,7 +164,43 @@ def op8_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op9_template_decontamination")
+_TEMPLATE = """list_transform(raw, lambda x, i: CASE WHEN x >= '0' AND x < ':' THEN '<num>' WHEN lower(x) <> x THEN '<name>'
+    WHEN i > 1 AND raw[i - 1] >= '0' AND raw[i - 1] < ':' AND list_contains([{units}], lower(x)) THEN '<unit>' ELSE lower(x) END)""".format(
+    units=", ".join(f"'{u}'" for u in UNITS))
+_TOKEN_SQL = TOKEN.replace("'", "''")
+
+
+@query("op9_template_decontamination", f"""
+WITH items AS (
+    SELECT item, raw, {_TEMPLATE} AS t FROM (
+        SELECT min(item_id) AS item, regexp_extract_all(text, '{_TOKEN_SQL}') AS raw FROM benchmark WHERE text IS NOT NULL GROUP BY text)
+    WHERE len(raw) > 0),
+grams AS (
+    SELECT item, q, least(len(t), {WINDOW}) AS length, array_to_string(t[q + 1 : q + least(len(t), {WINDOW})], ' ') AS h
+    FROM (SELECT item, t, unnest(range(0, len(t) - least(len(t), {WINDOW}) + 1)) AS q FROM items)
+    WHERE len(list_filter(t[q + 1 : q + least(len(t), {WINDOW})], lambda x: x[1] <> '<')) >= CASE WHEN len(t) < {WINDOW} THEN 1 ELSE {PLAIN} END),
+counts AS (SELECT item, count(*) AS n FROM grams GROUP BY item),
+docs AS (
+    SELECT body, raw, {_TEMPLATE} AS t FROM (
+        SELECT text AS body, regexp_extract_all(text, '{_TOKEN_SQL}') AS raw FROM documents WHERE text IS NOT NULL GROUP BY text)),
+spread AS (
+    SELECT body, length, p, array_to_string(t[p + 1 : p + length], ' ') AS h
+    FROM (SELECT body, t, length, unnest(range(0, len(t) - length + 1)) AS p FROM docs, (SELECT DISTINCT length FROM grams))),
+runs AS (
+    SELECT body, item, p - q AS shift, any_value(g.length) AS length, list(DISTINCT q) AS qs, count(DISTINCT q) / any_value(n) AS share
+    FROM spread s JOIN grams g ON s.h = g.h AND s.length = g.length JOIN counts USING (item) GROUP BY 1, 2, 3
+    HAVING count(DISTINCT q) / any_value(n) >= {COVER}),
+slots AS (
+    SELECT r.body, r.item, r.shift, r.share, unnest(list_concat([NULL], list_distinct([
+        {{'i': i.raw[j + 1], 'd': d.raw[j + 1 + r.shift]}} FOR j IN range(0, len(i.t))
+        IF i.t[j + 1][1] = '<' AND len(list_filter(r.qs, lambda q: q <= j AND j < q + r.length)) > 0]))) AS slot
+    FROM runs r JOIN items i USING (item) JOIN docs d USING (body)),
+leaks AS (
+    SELECT body, item, share FROM slots GROUP BY body, item, shift, share
+    HAVING 2 * count(slot) - count(DISTINCT slot.i) - count(DISTINCT slot.d) <= {CONFLICTS} * count(slot)),
+found AS (SELECT body, min(item) AS item_id, count(DISTINCT item) AS n_items, max(share) AS share FROM leaks GROUP BY body)
+SELECT doc_id, f.body IS NOT NULL AS contaminated, item_id, coalesce(n_items, 0) AS n_items, coalesce(share, 0.0::DOUBLE) AS share
+FROM documents LEFT JOIN found f ON text = f.body""")
 def op9_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against the templates of the benchmark."""
     return judge_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
