@@ -16,6 +16,7 @@ HEADLINE = [
     "late_refire", "late_side_output", "connect_keyed_join", "full_outer_orders", "dim_lookup_user", "left_join_many",
     "ledger_settle_balance", "log_fanout", "log_display", "cdc_route", "dim_upsert", "dau", "order_wide",
     "calculate", "transform_digit", "extract_tables", "udaf_contract",
+    "tumble_count_stream", "session_count_stream", "log_fanout_stream", "dau_stream", "order_wide_stream",
 ]
 
 

@@ -41,8 +41,9 @@ def tumble_sum_arrival(df: DataFrame, keys: list[str], value: str, size_ms: int)
 def slide_count(df: DataFrame, keys: list[str], size_ms: int, slide_ms: int) -> DataFrame:
     """Rows per key and sliding window, in batch.
 
-    Rows are first counted per pane of one slide; only the pane counts are copied to the windows that
-    cover them, so the copies do not grow with the rows.
+    Rows are first counted per pane of one slide. Time is cut into blocks as long as a window, so a window is the tail of
+    one block and the head of the next: running sums inside a block give all of them, and a window is made of two rows at most
+    however many panes it has. A block has ``size / slide`` panes at most, so no key is too large.
     """
     if size_ms % slide_ms:
         return bounds(
@@ -51,12 +52,27 @@ def slide_count(df: DataFrame, keys: list[str], size_ms: int, slide_ms: int) ->
     panes = (
         df.groupBy(window_floor(F.col("timestamp"), slide_ms).alias("__pane"), *keys)
         .agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn("__block", window_floor(F.col("__pane"), size_ms))
     )
-    starts = F.sequence(F.col("__pane") - (size_ms - slide_ms), F.col("__pane"), F.lit(slide_ms).cast("bigint"))
+    block = Window.partitionBy("__block", *keys).orderBy("__pane")
+    step, last = F.lit(slide_ms).cast("bigint"), F.col("__block") + (size_ms - slide_ms)
+    summed = panes.withColumns({
+        "__tail": F.sum("__n").over(block.rowsBetween(0, Window.unboundedFollowing)),
+        "__head": F.sum("__n").over(block.rowsBetween(Window.unboundedPreceding, 0)),
+        "__from": F.coalesce(F.lag("__pane").over(block) + slide_ms, F.col("__block")),
+        "__to": F.coalesce(F.lead("__pane").over(block), last),
+    })
+
+    def starts(first: Column, to: Column, count: str) -> Column:
+        found = F.transform(F.sequence(first, to, step), lambda s: F.struct(s.alias("win_start"), F.col(count).alias("n")))
+        return F.when(first <= to, found).otherwise(F.array().cast("array<struct<win_start:bigint,n:bigint>>"))
+
+    in_block = starts(F.col("__from"), F.col("__pane"), "__tail")
+    before = starts(F.col("__pane") + (slide_ms - size_ms), F.col("__to") - size_ms, "__head")
     return (
-        panes.withColumn("win_start", F.explode(starts))
-        .groupBy("win_start", *keys)
-        .agg(F.sum("__n").alias("count"))
+        summed.select(*keys, F.explode(F.concat(in_block, before)).alias("__w"))
+        .groupBy(F.col("__w.win_start").alias("win_start"), *keys)
+        .agg(F.sum("__w.n").alias("count"))
         .withColumn("win_end", F.col("win_start") + size_ms)
     )
 
