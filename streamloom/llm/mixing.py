@@ -94,11 +94,12 @@ def mix(docs: DataFrame, weights: Sequence[float], share: float = 1.5, most: flo
     cuts = floor_.join(cut, floor_["s"].eqNullSafe(cut["s"]), "left").select(floor_["s"].alias("_s"), "cut", "start")
     plan = written(plan.join(cuts, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"), "mix-plan")
 
-    own = plan.select(F.col("source").alias(s), "source_size", "target", "whole", "part", "cut", "start")
+    whole_, part, cut, start = (fresh(*kept) for _ in range(4))  # the user's columns may be called like the plan's
+    own = plan.select(F.col("source").alias(s), "source_size", "target", F.col("whole").alias(whole_), F.col("part").alias(part), F.col("cut").alias(cut), F.col("start").alias(start))
     out = rows.join(bounded(own, MOST_SOURCES), F.col(source).eqNullSafe(F.col(s)))
     at = F.struct(F.col(rank).alias("rank"), F.col(tie).alias("tie"))
-    sampled = (F.col("part") > 0) & F.coalesce(F.when(F.col("cut").isNotNull(), at <= F.col("cut")).otherwise(at < F.col("start")), F.lit(False))
-    copies = (F.col("whole") + F.when(sampled, 1).otherwise(0)).cast("long")
+    sampled = (F.col(part) > 0) & F.coalesce(F.when(F.col(cut).isNotNull(), at <= F.col(cut)).otherwise(at < F.col(start)), F.lit(False))
+    copies = (F.col(whole_) + F.when(sampled, 1).otherwise(0)).cast("long")
     return out.withColumn("copies", copies).select(*[F.col(f"`{c}`") for c in kept], *made)
 
 

@@ -80,12 +80,13 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule], url:
     key, joined = fresh(*pages.columns), fresh(*pages.columns)
     names = written(listed.select(canonical(F.col("url")).alias("canonical")).where("canonical IS NOT NULL").distinct(), "listed")
     blocks, n_blocks = build_filter(names, names.count())
-    blocks = bounded(written(blocks, "blocks"), MOST_BLOCKS)
+    own = {c: fresh(*pages.columns) for c in blocks.columns}  # the user's columns may be called like these
+    blocks = bounded(written(blocks.withColumnsRenamed(own), "blocks"), MOST_BLOCKS)
 
     rows = pages.withColumn(key, canonical(F.col(url)))
     own_block = F.when(F.col(key).isNotNull(), _block(F.col(key), n_blocks))
-    probed = rows.withColumn(joined, own_block).join(blocks, F.col(joined) == blocks["block"], "left")
-    possible = F.coalesce(reduce(lambda a, b: a & b, [blocks[f"w{w}"].bitwiseAND(b) != 0 for w, b in enumerate(_bits(F.col(key)))]), F.lit(False))
+    probed = rows.withColumn(joined, own_block).join(blocks, F.col(joined) == F.col(own["block"]), "left")
+    possible = F.coalesce(reduce(lambda a, b: a & b, [F.col(own[f"w{w}"]).bitwiseAND(b) != 0 for w, b in enumerate(_bits(F.col(key)))]), F.lit(False))
     probed = probed.withColumn("listed", possible).select(*[F.col(f"`{c}`") for c in pages.columns if c not in made], key, "listed")
     # The exact join sees possible hits alone. A URL is once in the list, so hits map to one row each and a
     # URL that many pages share is a skewed left side, which adaptive execution splits.

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns whose names the operators use themselves.
-CLASHING = ["size", "source_size", "target", "copies", "shard", "slot", "score", "spans", "key", "tie", "_tie", "_key", "h", "n", "label", "rule", "kept", "n_words", "n_tokens", "verdict", "host", "path", "listed", "item_id", "bucket", "place"]
+CLASHING = ["size", "source_size", "target", "copies", "shard", "slot", "score", "spans", "key", "tie", "_tie", "_key", "h", "n", "label", "rule", "kept", "n_words", "n_tokens", "verdict", "host", "path", "listed", "item_id", "bucket", "place", "block", "w0", "whole", "part", "cut", "start", "canonical", "digest", "raw", "node", "signature"]
 LONG = "word " * 60_000
 
 
