@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -23,13 +24,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 ROWS_PER_FILE = 200_000
 
 
-def written(df: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
+_passing: list[list[str]] = []
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables ``written`` inside, but for those that are to stay, are removed at the end."""
+    paths: list[str] = []
+    _passing.append(paths)
+    try:
+        yield
+    finally:
+        _passing.remove(paths)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def written(df: DataFrame, purpose: str, rows: int | None = None, stays: bool = False) -> DataFrame:
     """``df`` as a table in the shared scratch folder: lineage ends there, and losing an executor loses nothing.
 
     ``rows`` is an upper bound of a thin table's rows. It gets so few files that they aren't tiny; a table that fits one file is read as one
     partition, and what is done with such tables alone needs no shuffle.
     """
     path = scratch(df.sparkSession, purpose)
+    if _passing and not stays:
+        _passing[-1].append(path)
     files = None if rows is None else max(1, -(-rows // ROWS_PER_FILE))
     (df.coalesce(files) if files else df).write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)

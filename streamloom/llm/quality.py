@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from streamloom.llm.common import bounded, fresh, hashed_sample, uniform, written
+from streamloom.llm.common import bounded, fresh, hashed_sample, passing_tables, uniform, written
 from streamloom.shipping import ship_by_value
 
 #: Buckets the n-grams hash into: the size of either model.
@@ -205,9 +205,10 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 0, key: str = "doc_
 
 def keep_good(docs: DataFrame, labels: DataFrame, seed: int = 0, key: str = "doc_id", text: str = "text", good: str = "quality") -> DataFrame:
     """The rows of ``docs`` that ``resample`` keeps, with all their columns."""
-    verdict = resample(docs, labels, seed, key, text, good)
     own, tie = fresh(*docs.columns), fresh(*docs.columns)
-    gone = written(verdict.where("NOT kept").select(F.col(key).alias(own), F.col("_tie").alias(tie)).distinct(), "rejected")
+    with passing_tables(docs.sparkSession):
+        verdict = resample(docs, labels, seed, key, text, good)
+        gone = written(verdict.where("NOT kept").select(F.col(key).alias(own), F.col("_tie").alias(tie)).distinct(), "rejected", stays=True)
     same = F.col(key).eqNullSafe(F.col(own)) & (F.xxhash64(F.col(text)) == F.col(tie))
     return docs.join(bounded(gone, MOST_REJECTED), same, "left_anti")
 
