@@ -1,12 +1,15 @@
 """Benchmark decontamination by template canonicalisation.
 
 Numbers, names and units of a text become typed placeholders. Windows of the resulting templates are hash-joined with those of the benchmark,
-so a question whose parameters were changed still matches. Matches of one alignment are then checked for slot
+so a question whose parameters were changed still matches. The same is done with the text in lower case, where names are words like any other,
+so a copy in other letters' case matches too. Matches of one alignment are then checked for slot
 consistency: equal values in the question must stand for equal values in the document and the other way round. DataFrame operations only.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from streamloom.llm.common import bounded, fresh
@@ -23,6 +26,8 @@ UNITS = (
     "metre metres kilometer kilometers kilometre kilometres gram grams kilogram kilograms ounce ounces pound pounds ton tons liter liters litre litres second seconds "
     "minute minutes hour hours day days week weeks month months year years percent degrees dollar dollars cent cents euro euros"
 ).split()
+#: Readings of a text: as it stands, and in lower case (by way of upper case, as some letters have one of two only there).
+TYPED, FOLDED = 0, 1
 #: Windows of the benchmark, and documents to check, that are broadcast at most (40 bytes each); more are joined by shuffle.
 MOST_WINDOWS, MOST_CHECKED = 500_000, 500_000
 
@@ -31,44 +36,58 @@ def raw_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
 
 
-def template(raw: Column) -> Column:
-    """The template of an array of tokens: ``<num>``, ``<name>``, ``<unit>`` or the word in lower case."""
+def template(raw: Column, mode: int = TYPED) -> Column:
+    """The template of an array of tokens: ``<num>``, ``<name>``, ``<unit>`` or the word in lower case; tokens in lower case have no names."""
     number = lambda x: (x >= "0") & (x < ":")  # noqa: E731  the tokens that begin with a digit
 
     def slot(x: Column, i: Column) -> Column:
-        small = F.lower(x)
+        small = F.lower(x) if mode == TYPED else x
         unit = F.coalesce(number(F.get(raw, i - 1)), F.lit(False)) & small.isin(*UNITS)
-        return F.when(number(x), "<num>").when(small != x, "<name>").when(unit, "<unit>").otherwise(small)
+        kind = F.when(number(x), "<num>")
+        return (kind.when(small != x, "<name>") if mode == TYPED else kind).when(unit, "<unit>").otherwise(small)
 
     return F.transform(raw, slot)
 
 
+def read_as(df: DataFrame, mode: int) -> DataFrame:
+    """``df`` with ``mode``, and with ``raw`` and ``template`` of its ``body`` in that reading."""
+    # Catalyst takes lower(upper(x)) for lower(x), which it is not where one letter has two in upper case; concat keeps them apart.
+    body = F.col("body") if mode == TYPED else F.lower(F.concat(F.upper("body"), F.lit("")))
+    df = df.withColumn("mode", F.lit(mode)).withColumn("raw", raw_tokens(body))
+    return df.withColumn("template", template(F.col("raw"), mode))
+
+
 def windows(hashes: Column, length: int) -> Column:
     """Hashes of all windows of an array of token hashes."""
     starts = F.when(F.size(hashes) >= length, F.sequence(F.lit(0), F.size(hashes) - length)).otherwise(F.array().cast("array<int>"))
     return F.transform(starts, lambda i: F.xxhash64(F.lit(length), *[F.get(hashes, i + k) for k in range(length)]))
 
 
+def all_of(parts: list[DataFrame]) -> DataFrame:
+    """The union of frames of the same columns."""
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def benchmark_windows(benchmark: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct items (``item``, ``raw``, ``template``) and their windows (``h``, ``item``, ``q``, ``length``, ``n_windows``).
+    """Distinct items in each reading (``item``, ``mode``, ``raw``, ``template``) and their windows (``h``, ``item``, ``mode``, ``q``, ``length``, ``n_windows``).
 
     Windows with fewer than ``PLAIN`` plain words are left out, as they fit too much; an item shorter than a window is one window of its own
     length, if it has a plain word.
     """
     items = benchmark.where(F.col(text).isNotNull()).groupBy(F.col(text).alias("body")).agg(F.min(key).alias("item_id"))
-    items = items.select("item_id", F.xxhash64("body").alias("item"), raw_tokens(F.col("body")).alias("raw")).where(F.size("raw") > 0)
-    items = items.withColumn("template", template(F.col("raw"))).persist()
+    items = items.select("item_id", F.xxhash64("body").alias("item"), "body")
+    items = all_of([read_as(items, mode) for mode in (TYPED, FOLDED)]).drop("body").where(F.size("raw") > 0).persist()
     length = F.least(F.size("template"), F.lit(WINDOW))
     starts = F.sequence(F.lit(0), F.size("template") - length)
-    rows = items.select("item", "template", length.alias("length"), F.explode(starts).alias("q"))
+    rows = items.select("item", "mode", "template", length.alias("length"), F.explode(starts).alias("q"))
     part = F.slice("template", F.col("q") + 1, F.col("length"))
     rows = rows.withColumn("part", part).withColumn("plain", F.size(F.filter("part", lambda x: ~x.startswith("<"))))
     rows = rows.where(F.col("plain") >= F.when(F.col("length") < WINDOW, 1).otherwise(PLAIN))
     # The same hash as ``windows`` makes for that length.
     by_length = F.coalesce(*[F.when(F.col("length") == n, F.xxhash64(F.lit(n), *[F.xxhash64(F.get("part", F.lit(k))) for k in range(n)])) for n in range(1, WINDOW + 1)])
-    rows = rows.select(by_length.alias("h"), "item", "q", "length")
-    counts = rows.groupBy(F.col("item").alias("_item")).agg(F.count("*").alias("n_windows"))
-    return items, rows.join(counts, F.col("item") == F.col("_item")).drop("_item").persist()
+    rows = rows.select(by_length.alias("h"), "item", "mode", "q", "length")
+    counts = rows.groupBy(F.col("item").alias("_item"), F.col("mode").alias("_mode")).agg(F.count("*").alias("n_windows"))
+    return items, rows.join(counts, (F.col("item") == F.col("_item")) & (F.col("mode") == F.col("_mode"))).drop("_item", "_mode").persist()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -78,28 +97,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     smallest id. Empty tables give an empty result.
     """
     items, grams = benchmark_windows(benchmark, item_key, item_text)
-    lengths = [r.length for r in grams.select("length").distinct().collect()]  # 1 to WINDOW
+    kinds = sorted((r.mode, r.length) for r in grams.select("mode", "length").distinct().collect())  # readings, and lengths from 1 to WINDOW
     rows = docs.select(F.xxhash64(text).alias("tie"), F.col(text).alias("body")).where("body IS NOT NULL")
-    rows = rows.withColumn("raw", raw_tokens(F.col("body")))
-    hashed = rows.withColumn("hashes", F.transform(template(F.col("raw")), lambda x: F.xxhash64(x))).select("tie", "hashes")
-    if not lengths:
+    if not kinds:
         return items.select(F.col("item").alias("tie"), "item_id", F.lit(0).cast("long").alias("n_items"), F.lit(0.0).alias("share")).limit(0)
-    spread = [hashed.select("tie", F.lit(n).alias("_length"), F.posexplode(windows(F.col("hashes"), n)).alias("p", "_h")) for n in sorted(lengths)]
-    found = spread[0]
-    for more in spread[1:]:
-        found = found.union(more)
-    hits = found.join(bounded(grams, MOST_WINDOWS), (F.col("h") == F.col("_h")) & (F.col("length") == F.col("_length")))
-    hits = hits.select("tie", "item", (F.col("p") - F.col("q")).alias("shift"), "q", "length", "n_windows")
-    runs = hits.groupBy("tie", "item", "shift").agg(F.collect_set("q").alias("qs"), F.first("length").alias("length"), F.first("n_windows").alias("n_windows"))
+    spread = []
+    for mode, length in kinds:
+        hashed = read_as(rows, mode).select("tie", F.transform("template", lambda x: F.xxhash64(x)).alias("hashes"))
+        spread.append(hashed.select("tie", F.lit(mode).alias("_mode"), F.lit(length).alias("_length"), F.posexplode(windows(F.col("hashes"), length)).alias("p", "_h")))
+    found = all_of(spread)
+    hits = found.join(bounded(grams, MOST_WINDOWS), (F.col("h") == F.col("_h")) & (F.col("length") == F.col("_length")) & (F.col("mode") == F.col("_mode")))
+    hits = hits.select("tie", "item", "mode", (F.col("p") - F.col("q")).alias("shift"), "q", "length", "n_windows")
+    runs = hits.groupBy("tie", "item", "mode", "shift").agg(F.collect_set("q").alias("qs"), F.first("length").alias("length"), F.first("n_windows").alias("n_windows"))
     runs = runs.withColumn("share", F.size("qs") / F.col("n_windows")).where(F.col("share") >= COVER)
     runs = runs.persist()  # few rows after a long scan; what a lost executor held is scanned again
 
     # Slot consistency needs the values: only texts with a run are read for them, each once.
     checked = bounded(runs.select(F.col("tie").alias("_tie")).distinct(), MOST_CHECKED)
     bodies = rows.select("tie", "body").join(checked, F.col("tie") == F.col("_tie"), "left_semi").groupBy("tie").agg(F.first("body").alias("body"))
-    bodies = bodies.withColumn("raw", raw_tokens(F.col("body"))).withColumn("template", template(F.col("raw"))).select(F.col("tie").alias("_tie"), F.col("raw").alias("doc_raw"), F.col("template").alias("doc_template"))
-    own = items.select(F.col("item").alias("_item"), "item_id", "raw", "template")
-    both = runs.join(bodies, F.col("tie") == F.col("_tie")).join(own, F.col("item") == F.col("_item"))
+    bodies = all_of([read_as(bodies, mode) for mode in sorted({mode for mode, _ in kinds})])
+    bodies = bodies.select(F.col("tie").alias("_tie"), F.col("mode").alias("_doc_mode"), F.col("raw").alias("doc_raw"))
+    own = items.select(F.col("item").alias("_item"), F.col("mode").alias("_mode"), "item_id", "raw", "template")
+    both = runs.join(bodies, (F.col("tie") == F.col("_tie")) & (F.col("mode") == F.col("_doc_mode")))
+    both = both.join(own, (F.col("item") == F.col("_item")) & (F.col("mode") == F.col("_mode")))
     places = F.filter(F.sequence(F.lit(0), F.size("template") - 1), lambda j: F.exists("qs", lambda q: (q <= j) & (j < q + F.col("length"))) & F.get("template", j).startswith("<"))
     pairs = F.transform(places, lambda j: F.struct(F.get("raw", j).alias("of_item"), F.get("doc_raw", j + F.col("shift")).alias("of_doc")))
     both = both.withColumn("pairs", F.array_distinct(pairs))

@@ -256,6 +256,13 @@ def test_short_items_and_repeats(spark):
     assert got == {0: 0, 2: 0}
 
 
+def test_copies_in_other_case_are_caught(spark):
+    title = "The Heatou Ononat Of Erblein Whas Into Thed Reresh And Tisher"
+    texts = [f"some words before {ITEM.upper()} and some after", ITEM.title(), ITEM, f"here {title.lower()} ends", title.upper(), "NOTHING OF THE KIND IS ASKED HERE"]
+    assert found(spark, texts, ITEM, title) == {0: 0, 1: 0, 2: 0, 3: 1, 4: 1}
+    assert found(spark, [ITEM, "WIE VIELE STRASSEN LIEGEN IN DER STADT DORT"], ITEM.upper(), "wie viele straßen liegen in der stadt dort") == {0: 0, 1: 1}
+
+
 def test_whole_items_in_documents(spark, sf):
     docs, items = read(sf, "documents"), read(sf, "benchmark").text
     got = QUERIES["op9_template_decontamination"](spark, sf).toPandas()
