@@ -16,8 +16,11 @@ from streamloom.llm.common import bounded, fresh
 
 #: Tokens in a window, and how many of them must be plain words.
 WINDOW, PLAIN = 8, 5
-#: Share of an item's windows that a document must have in one alignment, and the share of conflicting slots it may have there.
+#: Share of an item's windows that a document must have in neighbouring alignments, and the share of conflicting slots one of these may have.
 COVER, CONFLICTS = 0.5, 0.1
+#: Alignments that lie at most so many tokens apart are neighbours, as after a word put in; and tokens of an item that are a match if
+#: they are in a row, or are ``COVER`` of its tokens.
+SLACK, QUOTE = 8, 13
 #: A number; a run of capitalised words; any other word.
 TOKEN = r"[0-9]+(?:[.,:/][0-9]+)*|\p{Lu}[\p{L}\p{M}']*(?: \p{Lu}[\p{L}\p{M}']*)*|[\p{L}\p{M}']+"
 #: Words that are a unit behind a number.
@@ -69,7 +72,7 @@ def all_of(parts: list[DataFrame]) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct items in each reading (``item``, ``mode``, ``raw``, ``template``) and their windows (``h``, ``item``, ``mode``, ``q``, ``length``, ``n_windows``).
+    """Distinct items in each reading (``item``, ``mode``, ``raw``, ``template``) and their windows (``h``, ``item``, ``mode``, ``q``, ``length``, ``n_tokens``, ``n_windows``).
 
     Windows with fewer than ``PLAIN`` plain words are left out, as they fit too much; an item shorter than a window is one window of its own
     length, if it has a plain word.
@@ -79,17 +82,41 @@ def benchmark_windows(benchmark: DataFrame, key: str, text: str) -> tuple[DataFr
     items = all_of([read_as(items, mode) for mode in (TYPED, FOLDED)]).drop("body").where(F.size("raw") > 0).persist()
     length = F.least(F.size("template"), F.lit(WINDOW))
     starts = F.sequence(F.lit(0), F.size("template") - length)
-    rows = items.select("item", "mode", "template", length.alias("length"), F.explode(starts).alias("q"))
+    rows = items.select("item", "mode", "template", F.size("template").alias("n_tokens"), length.alias("length"), F.explode(starts).alias("q"))
     part = F.slice("template", F.col("q") + 1, F.col("length"))
     rows = rows.withColumn("part", part).withColumn("plain", F.size(F.filter("part", lambda x: ~x.startswith("<"))))
     rows = rows.where(F.col("plain") >= F.when(F.col("length") < WINDOW, 1).otherwise(PLAIN))
     # The same hash as ``windows`` makes for that length.
     by_length = F.coalesce(*[F.when(F.col("length") == n, F.xxhash64(F.lit(n), *[F.xxhash64(F.get("part", F.lit(k))) for k in range(n)])) for n in range(1, WINDOW + 1)])
-    rows = rows.select(by_length.alias("h"), "item", "mode", "q", "length")
+    rows = rows.select(by_length.alias("h"), "item", "mode", "q", "length", "n_tokens")
     counts = rows.groupBy(F.col("item").alias("_item"), F.col("mode").alias("_mode")).agg(F.count("*").alias("n_windows"))
     return items, rows.join(counts, (F.col("item") == F.col("_item")) & (F.col("mode") == F.col("_mode"))).drop("_item", "_mode").persist()
 
 
+def shared(runs: Column) -> Column:
+    """The share of an item's windows that neighbouring alignments (``shift``, ``qs``) have together."""
+    return F.size(F.array_distinct(F.flatten(F.transform(runs, lambda r: r.qs)))) / F.col("n_windows")
+
+
+def enough(runs: Column) -> Column:
+    """Whether neighbouring alignments have ``COVER`` of the windows or, ``QUOTE`` at least, of the tokens, or one of them ``QUOTE`` tokens in a row.
+
+    Tokens in a row are those of windows that overlap or adjoin; there are ``QUOTE`` where two of these begin so far apart as asked below.
+    """
+    quoted = lambda r: F.exists(r.qs, lambda q: F.arrays_overlap(r.qs, F.sequence(q + (QUOTE - WINDOW), q + WINDOW)))
+    tokens = F.flatten(F.transform(F.flatten(F.transform(runs, lambda r: r.qs)), lambda q: F.sequence(q, q + F.col("length") - 1)))
+    covered = F.size(F.array_distinct(tokens)) >= F.greatest(F.lit(QUOTE), F.col("n_tokens") * COVER)
+    return (shared(runs) >= COVER) | covered | (F.col("length") == WINDOW) & F.exists(runs, quoted)
+
+
+def consistent(run: Column) -> Column:
+    """Whether the slots of an alignment stand for equal values in ``raw`` and ``doc_raw``, but for ``CONFLICTS`` of them."""
+    places = F.filter(F.sequence(F.lit(0), F.size("template") - 1), lambda j: F.exists(run.qs, lambda q: (q <= j) & (j < q + F.col("length"))) & F.get("template", j).startswith("<"))
+    pairs = F.array_distinct(F.transform(places, lambda j: F.struct(F.get("raw", j).alias("of_item"), F.get("doc_raw", j + run.shift).alias("of_doc"))))
+    values = lambda name: F.size(F.array_distinct(F.transform(pairs, lambda x: x[name])))
+    return F.size(pairs) * 2 - values("of_item") - values("of_doc") <= F.size(pairs) * CONFLICTS
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per contaminated text: ``tie`` (hash of the text), ``item_id`` (the smallest of its items), ``n_items``, ``share`` (the largest share of an item's windows).
 
@@ -106,10 +133,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
         hashed = read_as(rows, mode).select("tie", F.transform("template", lambda x: F.xxhash64(x)).alias("hashes"))
         spread.append(hashed.select("tie", F.lit(mode).alias("_mode"), F.lit(length).alias("_length"), F.posexplode(windows(F.col("hashes"), length)).alias("p", "_h")))
     found = all_of(spread)
+    of_item = ["length", "n_tokens", "n_windows"]
     hits = found.join(bounded(grams, MOST_WINDOWS), (F.col("h") == F.col("_h")) & (F.col("length") == F.col("_length")) & (F.col("mode") == F.col("_mode")))
-    hits = hits.select("tie", "item", "mode", (F.col("p") - F.col("q")).alias("shift"), "q", "length", "n_windows")
-    runs = hits.groupBy("tie", "item", "mode", "shift").agg(F.collect_set("q").alias("qs"), F.first("length").alias("length"), F.first("n_windows").alias("n_windows"))
-    runs = runs.withColumn("share", F.size("qs") / F.col("n_windows")).where(F.col("share") >= COVER)
+    hits = hits.select("tie", "item", "mode", (F.col("p") - F.col("q")).alias("shift"), "q", *of_item)
+    of = ["tie", "item", "mode"]
+    runs = hits.groupBy(*of, "shift").agg(F.collect_set("q").alias("qs"), *[F.first(c).alias(c) for c in of_item])
+    # Two bands for each alignment, so that any neighbours share one.
+    bands = F.explode(F.array(F.floor(F.col("shift") / SLACK), F.floor(F.col("shift") / SLACK) - 1)).alias("band")
+    runs = runs.select(*of, bands, F.struct("shift", "qs").alias("run"), *of_item)
+    runs = runs.groupBy(*of, "band").agg(F.collect_list("run").alias("runs"), *[F.first(c).alias(c) for c in of_item])
+    runs = runs.withColumn("share", shared(F.col("runs"))).where(enough(F.col("runs")))
     runs = runs.persist()  # few rows after a long scan; what a lost executor held is scanned again
 
     # Slot consistency needs the values: only texts with a run are read for them, each once.
@@ -120,12 +153,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     own = items.select(F.col("item").alias("_item"), F.col("mode").alias("_mode"), "item_id", "raw", "template")
     both = runs.join(bodies, (F.col("tie") == F.col("_tie")) & (F.col("mode") == F.col("_doc_mode")))
     both = both.join(own, (F.col("item") == F.col("_item")) & (F.col("mode") == F.col("_mode")))
-    places = F.filter(F.sequence(F.lit(0), F.size("template") - 1), lambda j: F.exists("qs", lambda q: (q <= j) & (j < q + F.col("length"))) & F.get("template", j).startswith("<"))
-    pairs = F.transform(places, lambda j: F.struct(F.get("raw", j).alias("of_item"), F.get("doc_raw", j + F.col("shift")).alias("of_doc")))
-    both = both.withColumn("pairs", F.array_distinct(pairs))
-    values = lambda name: F.size(F.array_distinct(F.transform("pairs", lambda x: x[name])))
-    conflicts = F.size("pairs") * 2 - values("of_item") - values("of_doc")
-    leaks = both.where(conflicts <= F.size("pairs") * CONFLICTS)
+    leaks = both.withColumn("runs", F.filter("runs", consistent)).withColumn("share", shared(F.col("runs"))).where(enough(F.col("runs")))
     return leaks.groupBy("tie").agg(F.min("item_id").alias("item_id"), F.countDistinct("item").alias("n_items"), F.max("share").alias("share"))
 
 

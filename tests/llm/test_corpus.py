@@ -263,6 +263,19 @@ def test_copies_in_other_case_are_caught(spark):
     assert found(spark, [ITEM, "WIE VIELE STRASSEN LIEGEN IN DER STADT DORT"], ITEM.upper(), "wie viele straßen liegen in der stadt dort") == {0: 0, 1: 1}
 
 
+def test_items_with_a_word_more_or_quoted_in_part_are_caught(spark):
+    w = ITEM.split()
+    half = len(w) // 2
+    more, other = " ".join([*w[:half], "zebra", *w[half:]]), " ".join([*w[:half], "zebra", *w[half + 1 :]])
+    names = ITEM.replace("Anna", "the girl")
+    quoted, few = f"we quote {' '.join(w[:14])} and leave it", f"we quote {' '.join(w[:9])} and leave it"
+    crossed = names.replace("5", "11", 1).replace("7", "11")
+    assert found(spark, [more, other, names, quoted, few, crossed], ITEM) == {0: 0, 1: 0, 2: 0, 3: 0}
+    short = "how many of the red apples in this basket are left once nine have gone away".split()
+    more = " ".join([*short[:8], "zebra", *short[8:]])
+    assert found(spark, [more, " ".join(short[:10])], " ".join(short)) == {0: 0}
+
+
 def test_whole_items_in_documents(spark, sf):
     docs, items = read(sf, "documents"), read(sf, "benchmark").text
     got = QUERIES["op9_template_decontamination"](spark, sf).toPandas()
