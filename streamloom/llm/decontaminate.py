@@ -29,8 +29,9 @@ UNITS = (
     "metre metres kilometer kilometers kilometre kilometres gram grams kilogram kilograms ounce ounces pound pounds ton tons liter liters litre litres second seconds "
     "minute minutes hour hours day days week weeks month months year years percent degrees dollar dollars cent cents euro euros"
 ).split()
-#: Readings of a text: as it stands, and in lower case (by way of upper case, as some letters have one of two only there).
-TYPED, FOLDED = 0, 1
+#: Readings of a text: as it stands, and in lower case (by way of upper case, as some letters have one of two only there). Items that have
+#: windows in neither are read in lower case without placeholders.
+TYPED, FOLDED, EXACT = 0, 1, 2
 #: Windows of the benchmark, and documents to check, that are broadcast at most (40 bytes each); more are joined by shuffle.
 MOST_WINDOWS, MOST_CHECKED = 500_000, 500_000
 
@@ -57,7 +58,7 @@ def read_as(df: DataFrame, mode: int) -> DataFrame:
     # Catalyst takes lower(upper(x)) for lower(x), which it is not where one letter has two in upper case; concat keeps them apart.
     body = F.col("body") if mode == TYPED else F.lower(F.concat(F.upper("body"), F.lit("")))
     df = df.withColumn("mode", F.lit(mode)).withColumn("raw", raw_tokens(body))
-    return df.withColumn("template", template(F.col("raw"), mode))
+    return df.withColumn("template", F.col("raw") if mode == EXACT else template(F.col("raw"), mode))
 
 
 def windows(hashes: Column, length: int) -> Column:
@@ -75,20 +76,22 @@ def benchmark_windows(benchmark: DataFrame, key: str, text: str) -> tuple[DataFr
     """Distinct items in each reading (``item``, ``mode``, ``raw``, ``template``) and their windows (``h``, ``item``, ``mode``, ``q``, ``length``, ``n_tokens``, ``n_windows``).
 
     Windows with fewer than ``PLAIN`` plain words are left out, as they fit too much; an item shorter than a window is one window of its own
-    length, if it has a plain word.
+    length, if it has a plain word. An item that has no windows then, of numbers or names mostly, has all windows of its exact tokens.
     """
     items = benchmark.where(F.col(text).isNotNull()).groupBy(F.col(text).alias("body")).agg(F.min(key).alias("item_id"))
     items = items.select("item_id", F.xxhash64("body").alias("item"), "body")
-    items = all_of([read_as(items, mode) for mode in (TYPED, FOLDED)]).drop("body").where(F.size("raw") > 0).persist()
+    items = all_of([read_as(items, mode) for mode in (TYPED, FOLDED, EXACT)]).drop("body").where(F.size("raw") > 0).persist()
     length = F.least(F.size("template"), F.lit(WINDOW))
     starts = F.sequence(F.lit(0), F.size("template") - length)
     rows = items.select("item", "mode", "template", F.size("template").alias("n_tokens"), length.alias("length"), F.explode(starts).alias("q"))
     part = F.slice("template", F.col("q") + 1, F.col("length"))
     rows = rows.withColumn("part", part).withColumn("plain", F.size(F.filter("part", lambda x: ~x.startswith("<"))))
-    rows = rows.where(F.col("plain") >= F.when(F.col("length") < WINDOW, 1).otherwise(PLAIN))
+    rows = rows.where((F.col("mode") == EXACT) | (F.col("plain") >= F.when(F.col("length") < WINDOW, 1).otherwise(PLAIN)))
     # The same hash as ``windows`` makes for that length.
     by_length = F.coalesce(*[F.when(F.col("length") == n, F.xxhash64(F.lit(n), *[F.xxhash64(F.get("part", F.lit(k))) for k in range(n)])) for n in range(1, WINDOW + 1)])
     rows = rows.select(by_length.alias("h"), "item", "mode", "q", "length", "n_tokens")
+    typed = rows.where(F.col("mode") != EXACT).select(F.col("item").alias("_item")).distinct()
+    rows = rows.join(typed, F.col("item") == F.col("_item"), "left").where((F.col("mode") != EXACT) | F.col("_item").isNull()).drop("_item")
     counts = rows.groupBy(F.col("item").alias("_item"), F.col("mode").alias("_mode")).agg(F.count("*").alias("n_windows"))
     return items, rows.join(counts, (F.col("item") == F.col("_item")) & (F.col("mode") == F.col("_mode"))).drop("_item", "_mode").persist()
 
@@ -120,7 +123,7 @@ def consistent(run: Column) -> Column:
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per contaminated text: ``tie`` (hash of the text), ``item_id`` (the smallest of its items), ``n_items``, ``share`` (the largest share of an item's windows).
 
-    NULL and empty texts, of documents or items, match nothing. Equal texts are one row, whatever their number. Items of equal text count once, with the
+    NULL and empty texts, and texts without a letter or digit, of documents or items, match nothing. Equal texts are one row, whatever their number. Items of equal text count once, with the
     smallest id. Empty tables give an empty result.
     """
     items, grams = benchmark_windows(benchmark, item_key, item_text)

@@ -276,6 +276,13 @@ def test_items_with_a_word_more_or_quoted_in_part_are_caught(spark):
     assert found(spark, [more, " ".join(short[:10])], " ".join(short)) == {0: 0}
 
 
+def test_items_without_plain_words_are_caught_whole(spark):
+    sums, names, short = "12 + 15 = 27 and 31 + 44 = 75 and 8 + 9 = 17 so 3 + 4 = 7", "Anna Berta Carla", "3.5 x 7"
+    texts = [f"we see {sums} there", sums.replace("27", "28"), f"then {names.upper()} came", "then Anna and Berta came", f"take {short} now", "1 2 3 4 5 6 7 8 9"]
+    assert found(spark, texts, sums, names, "3.5 7", short) == {0: 0, 1: 0, 2: 1, 4: 3}
+    assert found(spark, ["a 3.5 7 b", "a 3.5 8 b"], "3.5 7") == {0: 0}
+
+
 def test_whole_items_in_documents(spark, sf):
     docs, items = read(sf, "documents"), read(sf, "benchmark").text
     got = QUERIES["op9_template_decontamination"](spark, sf).toPandas()
