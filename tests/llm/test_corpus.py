@@ -367,6 +367,30 @@ def test_large_nodes_lose_no_link(spark, monkeypatch, levels):
     assert got == {i: c for i, (_, c) in want.items()}
 
 
+def test_trees_keep_the_promise_at_every_depth():
+    for share in (0.8, 0.85, 0.9):
+        for large in range(neardup.MOST_LEVELS + 1):
+            assert neardup.missed(share, large) ** neardup.trees_for(share, large) <= 1e-6
+    assert neardup.trees_for(0.85, 0) == 4 and neardup.trees_for(0.8, 0) == 5 and neardup.trees_for(1.0, 0) == 2
+
+
+def test_pairs_under_large_nodes_get_more_trees(spark, monkeypatch):
+    """Texts of one template, so that nodes stay large on many levels, with a near copy of each."""
+    monkeypatch.setattr(neardup, "SMALL", 8)
+    begun = []
+    monkeypatch.setattr(neardup, "roots", lambda signatures, trees, real=neardup.roots: begun.append(trees) or real(signatures, trees))
+    random.seed(5)
+    template, texts = [f"p{i}" for i in range(120)], []
+    for i in range(30):
+        own = [f"u{i}x{k}" for k in range(60)]
+        texts += [" ".join(template + own), " ".join(template + own + [f"v{i}x{k}" for k in range(25)])]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 3, (85, 100)).collect()}
+    want = plain_components(list(range(len(texts))), texts, 3, (85, 100))
+    assert got == {i: c for i, (_, c) in want.items()} and len(set(got.values())) == 30
+    assert begun[:2] == [range(1), range(1, 4)] and len(begun) > 2 and begun[2].start == 4
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 100), (5, 5), (300, 100)]
     random.shuffle(edges)
