@@ -45,10 +45,9 @@ def template(raw: Column, mode: int = TYPED) -> Column:
     number = lambda x: (x >= "0") & (x < ":")  # noqa: E731  the tokens that begin with a digit
 
     def slot(x: Column, i: Column) -> Column:
-        small = F.lower(x) if mode == TYPED else x
-        unit = F.coalesce(number(F.get(raw, i - 1)), F.lit(False)) & small.isin(*UNITS)
+        unit = F.coalesce(number(F.get(raw, i - 1)), F.lit(False)) & x.isin(*UNITS)
         kind = F.when(number(x), "<num>")
-        return (kind.when(small != x, "<name>") if mode == TYPED else kind).when(unit, "<unit>").otherwise(small)
+        return (kind.when(F.lower(x) != x, "<name>") if mode == TYPED else kind).when(unit, "<unit>").otherwise(x)
 
     return F.transform(raw, slot)
 
