@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamloom.llm.common import table
 from streamloom.llm.decontaminate import COVER, CONFLICTS, PLAIN, TOKEN, UNITS, WINDOW, judge_contamination
+from streamloom.llm.exact import exact_duplicates
 from streamloom.llm.mixing import mix
 from streamloom.llm.neardup import near_duplicates
 from streamloom.llm.quality import resample
 from streamloom.llm.rules import judge
 from streamloom.llm.sharding import shuffle_into_shards
+from streamloom.llm.spelling import spelling_forms
 from streamloom.llm.tokens import count_tokens
 from streamloom.llm.toxicity import fit, score
+from streamloom.llm.turns import damage, summaries
 from streamloom.llm.urls import host_of, judge_urls
 from streamloom.llm.warc import read_archives, write_archives
 
@@ -231,3 +234,121 @@ def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents whose three-word shingles overlap by 85 %."""
     found = near_duplicates(table(spark, sf_dir, "documents"), 3, (85, 100))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+#: SQL of a CRC-32: the table of its 256 steps, and the checksum of a text's bytes by that table.
+_CRC_TABLE = """SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS steps"""
+
+
+def _crc(text: str) -> str:
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {octets}), lambda c, b: xor(steps[xor(c, b) % 256 + 1], c // 256)), 4294967295)"
+
+
+@query("op11_spelling_index", rf"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}),
+runs AS (
+    SELECT doc_id, run, count(*) AS k FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+    GROUP BY ALL),
+hashed AS (SELECT run, k, {_crc("(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS h FROM runs, crc),
+words AS (
+    SELECT * FROM (SELECT word, sum(k)::BIGINT AS n FROM (
+        SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, k FROM hashed)
+        GROUP BY word) WHERE length(word) >= 6 AND n >= 5),
+shorter AS (SELECT word, i, substr(word, 1, i::INT) || substr(word, i::INT + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+near AS (
+    SELECT s.word AS a, w.word AS b FROM shorter s JOIN words w ON s.rest = w.word
+    UNION SELECT w.word, s.word FROM shorter s JOIN words w ON s.rest = w.word
+    UNION SELECT x.word, y.word FROM shorter x JOIN shorter y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word),
+counted AS (SELECT a, count(*) AS n_near, min({{'less': -n, 'b': b}}) AS best FROM near JOIN words ON b = word GROUP BY a),
+forms AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.less >= 5 * n THEN best.b END AS form, CASE WHEN -best.less >= 5 * n THEN -best.less END AS form_n
+    FROM words LEFT JOIN counted ON word = a),
+ways AS (
+    SELECT word, word AS stop, 0 AS steps FROM forms
+    UNION ALL SELECT w.word, f.form, steps + 1 FROM ways w JOIN forms f ON w.stop = f.word WHERE f.form IS NOT NULL),
+roots AS (SELECT word, arg_max(stop, steps) AS root FROM ways GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)""")
+def op11_spelling_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all texts, misspelt now and then, with the frequent words next to them."""
+    return spelling_forms(table(spark, sf_dir, "documents"))
+
+
+def _edit(state: str, cost: str, letter: str, line: str | None = None) -> str:
+    """SQL of a survivor (cost, edits, lines) after one edit."""
+    lines = f"list_append({state}.lines, {line})" if line else f"{state}.lines"
+    return f"{{'cost': {state}.cost + {cost}, 'edits': {state}.edits || '{letter}', 'lines': {lines}}}"
+
+
+_NONE = "{'cost': 1000000000000::BIGINT, 'edits': '', 'lines': []::VARCHAR[]}"
+
+
+def _turn(states: list[str], initial: str | None, name: str | None) -> list[str]:
+    """SQL of the survivors that a turn leads to from some states: kept, or called ``name``."""
+    out = []
+    for state in states:
+        keep = _edit(state, "late", "K", "role || ':' || text")
+        out.append(f"CASE WHEN NOT useless AND substr(role, 1, 1) = '{initial}' THEN {keep} ELSE {_NONE} END")
+        if name:
+            rerole = _edit(state, "late + 3", "R", f"'{name}:' || text")
+            out.append(f"CASE WHEN NOT useless THEN {rerole} ELSE {_NONE} END")
+    return out
+
+
+def _least(options: list[str]) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+_USER = _least(["u", *[_edit(state, "3", "I", "'user:'") for state in ("z", "s", "a")]])
+_ASSISTANT = _least(["a", _edit("iu", "3", "I", "'assistant:'")])
+
+
+@query("op12_survivor_viterbi", rf"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}),
+faults AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {_crc("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS f FROM conversations, crc),
+turns AS (
+    SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+        CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+    FROM faults, generate_series(1, CASE WHEN f = 3 THEN 2 ELSE 1 END) WHERE f <> 0),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS i,
+        rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again FROM turns)),
+judged AS (
+    SELECT *, body = '' AS blank, body <> '' AND again AS duplicate, body <> '' AND NOT again AND right(body, 1) NOT IN ('.', '!', '?') AS truncated,
+        substr(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1, 1) || substr(role, 1, 1) AS step FROM numbered),
+ready AS (SELECT *, blank OR duplicate AS useless, CASE WHEN truncated THEN 3 ELSE 0 END AS late FROM judged),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+        count(*) FILTER (truncated) AS truncated, count(*) FILTER (i > 1 AND step NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+    FROM ready GROUP BY conv_id),
+paths AS (
+    SELECT conv_id, 0::BIGINT AS i, {{'cost': 0::BIGINT, 'edits': '', 'lines': []::VARCHAR[]}} AS z, {_NONE} AS s, {_NONE} AS u, {_NONE} AS a FROM (SELECT DISTINCT conv_id FROM conversations)
+    UNION ALL
+    SELECT conv_id, i, {_edit("z", "4", "D")}, {_least([_edit("s", "4", "D"), *_turn(["z"], "s", None)])},
+        {_least([_edit("iu", "4", "D"), *_turn(["z", "s", "ia"], "u", "user")])}, {_least([_edit("ia", "4", "D"), *_turn(["iu"], "a", "assistant")])}
+    FROM (
+        SELECT *, {_ASSISTANT} AS ia FROM (
+            SELECT p.conv_id, r.i, z, s, u, a, {_USER} AS iu, r.role, r.text, r.useless, r.late
+            FROM paths p JOIN ready r ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = p.i + 1))),
+ends AS (
+    SELECT conv_id, i, {_least(["z", "ia"])} AS best FROM (SELECT conv_id, i, z, {_ASSISTANT} AS ia FROM (SELECT *, {_USER} AS iu FROM paths)))
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, best.cost AS cost, best.edits AS audit, sha256(array_to_string(best.lines, chr(10))) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON e.conv_id IS NOT DISTINCT FROM c.conv_id WHERE e.i = coalesce(n, 0)""")
+def op12_survivor_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and repaired text of every conversation, after its turns were damaged."""
+    return summaries(damage(table(spark, sf_dir, "conversations"))).withColumnRenamed("conv", "conv_id")
+
+
+@query("op13_extendible_hash", """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, coalesce(doc_id = max(doc_id) OVER same, max(doc_id) OVER same IS NULL) AS kept,
+    sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""")
+def op13_extendible_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the last one of its text."""
+    return exact_duplicates(table(spark, sf_dir, "documents"))
