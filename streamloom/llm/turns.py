@@ -4,7 +4,7 @@ The roles of a repaired conversation begin with at most one system turn and then
 found over four states: nothing yet, system, user, assistant. Each state has one survivor, a leaf of a tree of backpointers whose nodes count
 their references. When all survivors share an ancestor, the edits up to it are final: they are emitted, and their nodes and texts are forgotten.
 So memory holds unresolved edits only, however long a conversation is; survivors of equal cost are told apart by their whole
-unresolved edits.
+unresolved edits. A survivor that costs so much that another can do all it can for less is dropped.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ from streamloom.shipping import ship_by_value
 REROLE, DELETE, INSERT, TRUNCATED = 3, 4, 3, 3
 #: For each state the roles that may follow, by initial, and the state they lead to.
 FOLLOW = {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+#: What it costs at most to go on from one state as from another: the survivor of the other, if it costs more than that, can't win any more. Without
+#: this nothing and system, which few edits lead to, would keep their old edits unresolved for ever.
+IMITATE = {"": {"s": 2 * INSERT, "u": INSERT + DELETE, "a": DELETE}, "s": {"u": INSERT, "a": 0}}
 #: States in which a conversation may end, and what inserted or reroled turns are called.
 ENDS, NAMES = ("", "a"), {"u": "user", "a": "assistant"}
 
@@ -100,6 +103,9 @@ class Repair:
         before, self.live = self.live, after
         for _, node in before.values():
             drop(node)
+        for state, others in IMITATE.items():
+            if state in after and any(o in after and after[o][0] + extra < after[state][0] for o, extra in others.items()):
+                drop(after.pop(state)[1])
         return self._resolved()
 
     def finish(self) -> list[tuple[str, tuple[str, str] | None]]:
