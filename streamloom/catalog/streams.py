@@ -22,7 +22,7 @@ from streamloom.plans.order_wide import order_wide_stream
 from streamloom.session import scratch
 from streamloom.sources.files import read_table, stream_table
 from streamloom.streaming import queries, sinks, stateful
-from streamloom.streaming.run import EndMark, read_batches, run_latest, run_to_table, start_to_table
+from streamloom.streaming.run import EndMark, feed_in_order, read_batches, run_latest, run_to_table, start_to_table
 
 DELAY = "2 seconds"
 
@@ -37,6 +37,16 @@ def _ending(spark, sf):
     return clicks_of(end.on(stream_table(spark, sf, "events"), "ts")), end
 
 
+def _in_time(spark, sf, make, parts=3):
+    """What a stream gives that gets the clicks in the order of their time, in several micro-batches, and the mark that closes the windows."""
+    clicks = clicks_of(read_table(spark, sf, "events"))
+    return feed_in_order(spark, [(clicks, "timestamp")], parts, make, marks=[{"ts": EndMark.AT, "timestamp": END}]).drop("batch_id")
+
+
+#: ``EndMark.AT`` in milliseconds.
+END = 221845392000000
+
+
 @query("word_count_stream", f"WITH {WORDS} SELECT word, count(*) AS n FROM words GROUP BY word")
 def _(spark, sf):
     lines = project.text_lines(stream_table(spark, sf, "documents"), "text")
@@ -45,20 +55,17 @@ def _(spark, sf):
 
 @query("tumble_count_stream", TUMBLE)
 def _(spark, sf):
-    rows, end = _ending(spark, sf)
-    return run_to_table(windows.tumble_count(rows.withWatermark("ts", DELAY), ["url"], DAY), end=end).drop("batch_id")
+    return _in_time(spark, sf, lambda rows: windows.tumble_count(rows.withWatermark("ts", DELAY), ["url"], DAY))
 
 
 @query("slide_count_stream", SLIDE)
 def _(spark, sf):
-    rows, end = _ending(spark, sf)
-    return run_to_table(queries.sliding_counts(rows, DAY, DAY // 2, DELAY), end=end).drop("batch_id")
+    return _in_time(spark, sf, lambda rows: queries.sliding_counts(rows, DAY, DAY // 2, DELAY))
 
 
 @query("session_count_stream", SESSION)
 def _(spark, sf):
-    rows, end = _ending(spark, sf)
-    return run_to_table(windows.session_count_stream(rows.withWatermark("ts", DELAY), ["user"], SESSION_GAP), end=end).drop("batch_id")
+    return _in_time(spark, sf, lambda rows: windows.session_count_stream(rows.withWatermark("ts", DELAY), ["user"], SESSION_GAP))
 
 
 @query("topn_two_stage", TOP_TWO)
@@ -71,19 +78,16 @@ def _(spark, sf):
 
 @query("union_streams_wm_stream", TUMBLE)
 def _(spark, sf):
-    end = EndMark(spark)
-    first = end.on(_clicks(spark, sf).filter("seq % 2 = 0"), "ts")
-    second = end.on(_clicks(spark, sf).filter("seq % 2 = 1"), "ts")
-    both = queries.union_watermarked(first, "2 seconds", second, "5 seconds")
-    return run_to_table(windows.tumble_count(both, ["url"], DAY), end=end).drop("batch_id")
+    clicks = clicks_of(read_table(spark, sf, "events"))
+    halves = [(clicks.filter(F.col("seq") % 2 == k), "timestamp") for k in range(2)]
+    make = lambda a, b: windows.tumble_count(queries.union_watermarked(a, "2 seconds", b, "5 seconds"), ["url"], DAY)
+    return feed_in_order(spark, halves, 3, make, marks=[{"ts": EndMark.AT}] * 2).drop("batch_id")
 
 
 @query("timer_event_stream", ORACLES["timer_event"])
 def _(spark, sf):
-    rows, end = _ending(spark, sf)
-    out = run_to_table(stateful.timer_event(rows, 10 * SECOND, DELAY), end=end)
-    mark = F.unix_millis(F.lit(EndMark.AT).cast("timestamp"))
-    return out.filter(F.col("at") < mark).select("user", "at", "kind")
+    out = _in_time(spark, sf, lambda rows: stateful.timer_event(rows, 10 * SECOND, DELAY))
+    return out.filter(F.col("at") < END).select("user", "at", "kind")
 
 
 @query("log_fanout_stream", LOG_TOPICS)
@@ -117,13 +121,10 @@ def _(spark, sf):
 
 @query("dau_stream", DAU)
 def _(spark, sf):
-    # Files bring their rows in any order, so days stay open for longer than the table spans.
-    end = EndMark(spark)
-    events = _in_files(spark, read_table(spark, sf, "events"), 3)
-    pages = end.on(log_fanout.log_page(log_fanout.parse_logs(raw_logs_of(events), *log_fanout.PAGE_PARTS)), "ts")
-    mark = F.col("ts") >= F.unix_millis(F.lit(EndMark.AT).cast("timestamp"))
-    first = run_to_table(first_visits_stream(pages, "400 days"), end=end).drop("batch_id").filter(~mark)
-    return enrich_visits(first, user_dim(spark, sf), province_dim(spark, sf), F.lit(TODAY).cast("date"))
+    # Visits come in the order of their time, so a day stays open only until rows of the next one have come, however many days there are.
+    pages = log_fanout.log_page(log_fanout.parse_logs(raw_logs_of(read_table(spark, sf, "events")), *log_fanout.PAGE_PARTS))
+    first = feed_in_order(spark, [(pages, "ts")], 3, lambda rows: first_visits_stream(rows, "1 day"), marks=[{"ts": END}])
+    return enrich_visits(first.drop("batch_id").filter(F.col("ts") < END), user_dim(spark, sf), province_dim(spark, sf), F.lit(TODAY).cast("date"))
 
 
 @query("order_wide_stream", ORDER_WIDE)

@@ -142,6 +142,12 @@ def window_uv_stream(df: DataFrame, user: str, size_ms: int, error: float = 0.02
     return bounds(df.groupBy(F.window("ts", _span(size_ms))).agg(F.approx_count_distinct(user, error).alias("uv")))
 
 
+def window_uv_exact_stream(df: DataFrame, user: str, size_ms: int) -> DataFrame:
+    """Distinct users per tumbling window of a stream, exactly: one state row per window and user, forgotten when the window closes; NULL is no user."""
+    users = df.select(F.window("ts", _span(size_ms)).alias("window"), F.col(user).alias("user")).dropDuplicates(["window", "user"])
+    return bounds(users.groupBy("window").agg(F.count("user").alias("uv")))
+
+
 def window_all(df: DataFrame, size_ms: int, slide_ms: int) -> DataFrame:
     """Rows per window over all keys, counted in two phases."""
     return slide_count(df, [], size_ms, slide_ms)

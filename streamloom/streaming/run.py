@@ -87,6 +87,46 @@ def run_to_table(stream: DataFrame, mode: str = "append", end: EndMark | None =
     return read_batches(spark, path, stream.schema)
 
 
+def feed_in_order(
+    spark: SparkSession, tables: list[tuple[DataFrame, str]], parts: int, make: Callable[..., DataFrame], mode: str = "append",
+    marks: list[dict | None] | None = None,
+) -> DataFrame:
+    """Feed tables as streams, ``parts`` micro-batches in the order of a whole number each, and read back what ``make(*streams)`` gives, with ``batch_id``.
+
+    ``tables`` has (table, number). The span of all numbers is cut into equal parts, and ``part_of`` says which one a row is in. Before each micro-batch its rows are put
+    into the folders of the streams; the query is then started from its checkpoint and stops when it has read them, so every part also
+    is a restart. ``marks`` has for each table the values of a last row (the rest is NULL), or nothing: it closes windows in an additional micro-batch.
+    """
+    spans = [df.agg(F.min(seq), F.max(seq)).first() for df, seq in tables]
+    known = [s for s in spans if s[0] is not None]
+    low, high = (min(s[0] for s in known), max(s[1] for s in known)) if known else (0, 0)
+    folders, cut = [], []
+    for df, seq in tables:
+        whole, folder = scratch(spark, "parts"), scratch(spark, "feed")
+        df.withColumn("__part", part_of(F.col(seq), low, high, parts)).write.partitionBy("__part").parquet(whole)
+        df.limit(0).write.parquet(folder)
+        cut.append(spark.read.schema(StructType([*df.schema.fields]).add("__part", LongType())).parquet(whole))
+        folders.append(folder)
+    stream = make(*[spark.readStream.schema(df.schema).parquet(folder) for (df, _), folder in zip(tables, folders)])
+    path, checkpoint = scratch(spark, "stream-out"), scratch(spark, "stream-checkpoint")
+    for part in range(parts):
+        for rows, folder in zip(cut, folders):
+            rows.where(F.col("__part") == part).drop("__part").write.mode("append").parquet(folder)
+        start_to_table(stream, path, checkpoint, mode).awaitTermination()
+    if marks:
+        for (df, _), mark, folder in zip(tables, marks, folders):
+            if mark:
+                values = [F.lit(mark.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+                spark.range(1).select(*values).write.mode("append").parquet(folder)
+        start_to_table(stream, path, checkpoint, mode).awaitTermination()
+    return read_batches(spark, path, stream.schema)
+
+
+def part_of(seq, low: int, high: int, parts: int):
+    """Which of ``parts`` equal stretches from ``low`` to ``high`` a number is in."""
+    return F.floor((seq - F.lit(low)) * F.lit(parts) / F.lit(high - low + 1)).cast("bigint")
+
+
 def latest(updates: DataFrame, keys: list[str]) -> DataFrame:
     """Last update per key of an update-mode stream."""
     return first_per_key(updates, keys, [F.col("batch_id").desc()]).drop("batch_id")
