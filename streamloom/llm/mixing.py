@@ -1,8 +1,9 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-A source whose target is r times its size takes ``floor(r)`` whole copies of each document for certain. The rest is a sample:
-documents are ranked by the odds of a random number over the odds of inclusion, and the first in that order are taken up to
-the fixed size, measured in words. Everything is DataFrame operations.
+A source whose target is r times its size takes ``floor(r)`` whole copies of each document for certain. The rest is a sample in which a document's chance
+of inclusion grows with its size: ``scale × size``, and 1, one more whole copy, where that is more. The scale is such that the words expected are
+the words wanted. Documents that aren't certain are ranked by the odds of a random number over the odds of inclusion, and the first
+in that order are taken up to the fixed size, measured in words. Everything is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -41,6 +42,23 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: floa
     return levels.select("source", "source_size", target.alias("target"))
 
 
+def _scales(thin: DataFrame, budgets: DataFrame) -> DataFrame:
+    """``_src``, ``scale`` and ``certain`` (words of the documents that are certain) of each source of ``budgets`` (``_src``, ``budget``).
+
+    Documents are certain from the largest on, until the scale that the other ones need gives the next less than 1. The window runs over the distinct
+    sizes of a source, whose sums are exact, so reruns agree.
+    """
+    sizes = thin.where("size > 0").groupBy("s", "size").agg(F.count("*").alias("n"))
+    sizes = sizes.join(bounded(budgets, MOST_SOURCES), F.col("s").eqNullSafe(F.col("_src")))
+    exact = lambda c: c.cast("decimal(38,0)")
+    order = Window.partitionBy("_src").orderBy(F.col("size").desc())
+    larger = F.coalesce(F.sum(exact(F.col("size") * F.col("n"))).over(order.rowsBetween(Window.unboundedPreceding, -1)), exact(F.lit(0))).cast("double")
+    squares = F.sum(exact(F.col("size") * F.col("size")) * F.col("n")).over(order.rowsBetween(0, Window.unboundedFollowing)).cast("double")
+    scaled = sizes.select("_src", "size", larger.alias("certain"), ((F.col("budget") - larger) / squares).alias("scale"))
+    least = scaled.where(F.col("scale") * F.col("size") < 1.0).groupBy("_src").agg(F.max_by(F.struct("scale", "certain"), "size").alias("found"))
+    return least.select("_src", "found.scale", "found.certain")
+
+
 def _crossing(rows: DataFrame, key: Column, name: str) -> DataFrame:
     """Of ``rows`` (``s``, ``size``, ``budget``, ``key``) those in the bin of their source in which the budget runs out, what comes before it taken off."""
     bins = rows.groupBy("s", key.alias(name)).agg(F.sum("size").alias("n"), F.first("budget").alias("budget"))
@@ -53,32 +71,39 @@ def mix(docs: DataFrame, weights: Sequence[float], share: float = 1.5, most: flo
     """``docs`` with ``size`` (words), ``source_size``, ``target`` and ``copies``, a row for each row; ``copies × size`` is what the mix takes.
 
     A document has ``floor(r)`` or one more copies, r being its source's target over its size. ``odds`` names a column of positive factors on
-    a document's odds of inclusion; without it documents of a source have equal odds. The sample
-    of a source ends where its words come nearest to the target: half a document off at most. Rows rank by an MD5 of
+    the odds of inclusion that its size gives a document. The sample
+    of a source ends where its words come nearest to the target: half a document off at most. Rows without words are not sampled. Rows rank by an MD5 of
     seed and key, or of the text where the key is NULL, so reruns agree; rows alike in key and odds are taken together. NULL
     texts have size 0 and NULL sources are one source. An empty source gets target 0 and as many copies as the rank says, of no words. An empty table gives an empty
     one; columns with the names made here are replaced.
     """
     made = ["size", "source_size", "target", "copies"]
     kept = [c for c in docs.columns if c not in made]
-    s, rank, tie = (fresh(*kept) for _ in range(3))
+    s, draw, tie = (fresh(*kept) for _ in range(3))
     name = F.coalesce(F.col(key).cast("string"), F.md5(F.col(text)), F.lit(""))
     drawn = uniform(F.lit(seed), name)
     factor = F.col(odds).cast("double") if odds else F.lit(1.0)
     rows = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumn("size", word_count(F.col(text)))
-    rows = rows.withColumn(rank, drawn / (F.lit(1.0) - drawn) / factor).withColumn(tie, name)
+    rows = rows.withColumn(draw, drawn / (F.lit(1.0) - drawn) / factor).withColumn(tie, name)
 
-    thin = written(rows.select(F.col(source).alias("s"), "size", F.col(rank).alias("rank"), F.col(tie).alias("tie")), "mix-rows")
+    thin = written(rows.select(F.col(source).alias("s"), "size", F.col(draw).alias("draw"), F.col(tie).alias("tie")), "mix-rows")
     sizes = thin.groupBy(F.col("s").alias("source")).agg(F.sum("size").alias("source_size"))
     plan = written(targets(sizes, weights, share, most), "targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(ratio)
     plan = plan.withColumn("whole", whole).withColumn("part", ratio - whole).withColumn("budget", F.col("target") - whole * F.col("source_size"))
 
-    # A document's rank: odds of its number over odds of inclusion, the latter the same for all of a source, so that
-    # the cut can be sought in the former. Bins of rank / (1 + rank) keep the search distributed.
-    wanted = bounded(plan.where("part > 0").select(F.col("source").alias("_src"), "budget"), MOST_SOURCES)
-    left = thin.join(wanted, F.col("s").eqNullSafe(F.col("_src"))).drop("_src")
+    # Odds of a document's number over odds of its inclusion. Bins of rank / (1 + rank) keep the search for the cut distributed.
+    wanted = plan.where("part > 0").select(F.col("source").alias("_src"), "budget")
+    scales = written(_scales(thin, wanted), "mix-scales")
+    plan = written(plan.join(scales, F.col("source").eqNullSafe(F.col("_src")), "left").drop("_src"), "mix-budgets")
+
+    def rank_of(draw: Column, chance: Column) -> Column:
+        return draw / (chance / (F.lit(1.0) - chance))
+
+    wanted = bounded(plan.where("scale IS NOT NULL").select(F.col("source").alias("_src"), (F.col("budget") - F.col("certain")).alias("budget"), "scale"), MOST_SOURCES)
+    left = thin.where("size > 0").join(wanted, F.col("s").eqNullSafe(F.col("_src"))).where(F.col("scale") * F.col("size") < 1.0)
+    left = left.select("s", "size", rank_of(F.col("draw"), F.col("scale") * F.col("size")).alias("rank"), "tie", "budget")
     spread = F.col("rank") / (F.lit(1.0) + F.col("rank")) * BINS
     for depth, bin_ in enumerate((F.floor(spread), F.floor((spread - F.floor(spread)) * BINS))):
         found = written(_crossing(left, bin_, "bin"), f"cut-{depth}")
@@ -94,11 +119,13 @@ def mix(docs: DataFrame, weights: Sequence[float], share: float = 1.5, most: flo
     cuts = floor_.join(cut, floor_["s"].eqNullSafe(cut["s"]), "left").select(floor_["s"].alias("_s"), "cut", "start")
     plan = written(plan.join(cuts, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"), "mix-plan")
 
-    whole_, part, cut, start = (fresh(*kept) for _ in range(4))  # the user's columns may be called like the plan's
-    own = plan.select(F.col("source").alias(s), "source_size", "target", F.col("whole").alias(whole_), F.col("part").alias(part), F.col("cut").alias(cut), F.col("start").alias(start))
+    whole_, scale, cut, start = (fresh(*kept) for _ in range(4))  # the user's columns may be called like the plan's
+    own = plan.select(F.col("source").alias(s), "source_size", "target", F.col("whole").alias(whole_), F.col("scale").alias(scale), F.col("cut").alias(cut), F.col("start").alias(start))
     out = rows.join(bounded(own, MOST_SOURCES), F.col(source).eqNullSafe(F.col(s)))
-    at = F.struct(F.col(rank).alias("rank"), F.col(tie).alias("tie"))
-    sampled = (F.col(part) > 0) & F.coalesce(F.when(F.col(cut).isNotNull(), at <= F.col(cut)).otherwise(at < F.col(start)), F.lit(False))
+    chance = F.col(scale) * F.col("size")
+    at = F.struct(rank_of(F.col(draw), chance).alias("rank"), F.col(tie).alias("tie"))
+    drawn_in = F.coalesce(F.when(F.col(cut).isNotNull(), at <= F.col(cut)).otherwise(at < F.col(start)), F.lit(False))
+    sampled = (F.col("size") > 0) & F.coalesce((chance >= 1.0) | drawn_in, F.lit(False))
     copies = (F.col(whole_) + F.when(sampled, 1).otherwise(0)).cast("long")
     return out.withColumn("copies", copies).select(*[F.col(f"`{c}`") for c in kept], *made)
 

@@ -112,13 +112,24 @@ level AS (SELECT level FROM levels WHERE level * weight <= cap ORDER BY cap / we
 targets AS (SELECT source, source_size, least(cap, coalesce((SELECT level FROM level) * weight, cap)) AS target FROM levels),
 plan AS (
     SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets),
+budgets AS (
+    SELECT *, target - whole * source_size AS budget, source_size > 0 AND target / source_size > whole AS sampled FROM plan),
+bysize AS (SELECT source, size, count(*) AS n FROM docs WHERE size > 0 GROUP BY ALL),
+scaled AS (
+    SELECT b.source, size, coalesce(sum(size * n) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS certain,
+        (budget - coalesce(sum(size * n) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+            / (sum(size * size * n) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS scale
+    FROM bysize b JOIN budgets p ON b.source IS NOT DISTINCT FROM p.source AND sampled WINDOW w AS (PARTITION BY b.source ORDER BY size DESC)),
+scales AS (SELECT source, max_by(scale, size) AS scale, max_by(certain, size) AS certain FROM scaled WHERE scale * size < 1.0 GROUP BY source),
+chances AS (
+    SELECT d.*, p.source_size, p.target, p.whole, budget - certain AS rest, scale * size AS chance
+    FROM docs d JOIN budgets p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN scales c ON d.source IS NOT DISTINCT FROM c.source),
 ranked AS (
-    SELECT d.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS budget,
-        p.source_size > 0 AND p.target / p.source_size > p.whole AS sampled,
-        sum(size) OVER (PARTITION BY d.source ORDER BY u / (1.0::DOUBLE - u), tie) AS through
-    FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source)
+    SELECT *, sum(CASE WHEN chance > 0 AND chance < 1.0 THEN size END) OVER (
+        PARTITION BY source ORDER BY CASE WHEN chance > 0 AND chance < 1.0 THEN (u / (1.0::DOUBLE - u)) / (chance / (1.0::DOUBLE - chance)) END NULLS LAST, tie) AS through
+    FROM chances)
 SELECT doc_id, size, source_size, target,
-    (whole * size + CASE WHEN sampled AND (through <= budget OR (through - size < budget AND through - budget <= budget - (through - size))) THEN size ELSE 0 END)::BIGINT AS taken
+    (whole * size + CASE WHEN chance >= 1.0 OR chance > 0 AND (through <= rest OR (through - size < rest AND through - rest <= rest - (through - size))) THEN size ELSE 0 END)::BIGINT AS taken
 FROM ranked""")
 def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 5, 2, 1 of the sources in turn, 150 % of the words, twice a source at most."""

@@ -86,6 +86,31 @@ def test_odds_favour_documents(spark):
     assert sum(r.n for r in got) == 1000 and got[1].n > 2 * got[0].n
 
 
+def test_chances_grow_with_size_and_sum_to_the_words_wanted(spark):
+    """Sources of the same sizes, 40 % of whose words are wanted: documents come in about as often as scale times size, the largest always."""
+    random.seed(6)
+    sizes, sources = [300] + [random.randint(1, 30) for _ in range(120)], range(30)
+    docs = spark.createDataFrame([(1000 * s + i, "w " * n, "", f"s{s}", 1) for s in sources for i, n in enumerate(sizes)], DOCS)
+    want, certain = 0.4 * sum(sizes), set()
+    while True:
+        rest = [n for i, n in enumerate(sizes) if i not in certain]
+        scale = (want - sum(sizes[i] for i in certain)) / sum(n * n for n in rest)
+        more = {i for i, n in enumerate(sizes) if i not in certain and scale * n >= 1}
+        if not more:
+            break
+        certain |= more
+    assert 0 in certain
+    got, seen = {r.doc_id: r.copies for r in mix(docs, (1,), share=0.4, seed=6).collect()}, collections.Counter()
+    assert set(got.values()) <= {0, 1} and all(got[1000 * s + i] == 1 for s in sources for i in certain)
+    for s in sources:
+        assert abs(sum(got[1000 * s + i] * n for i, n in enumerate(sizes)) - want) <= 15
+        seen.update(i for i in range(len(sizes)) if got[1000 * s + i])
+    for low, high in ((1, 8), (9, 16), (17, 30)):
+        own = [i for i, n in enumerate(sizes) if low <= n <= high and i not in certain]
+        expected = sum(scale * sizes[i] for i in own) * len(sources)
+        assert abs(sum(seen[i] for i in own) - expected) < 5 * expected**0.5 + 5
+
+
 def test_without_words_nothing_is_taken(spark):
     docs = spark.createDataFrame([(1, None, "en", "a", 0), (2, "", "en", None, 0)], DOCS)
     assert mix(docs, (1,)).agg(F.sum(F.col("copies") * F.col("size"))).first()[0] == 0
@@ -217,6 +242,12 @@ def test_rules_need_both_conditions(spark):
         assert (f, sign) in (("a", ">"), ("b", "<=")) and abs(t - {"a": 0.5, "b": 0.3}[f]) < 0.1
 
 
+def test_a_very_long_text_of_different_words_repeats_nothing(spark):
+    long = spark.range(1).select(F.lit(1).alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4_500_000)), lambda i: i.cast("string")), " ").alias("text"))
+    got = rules.with_statistics(long).first()
+    assert (got.n_words, got.n_repeat_words) == (4_500_000, 0)
+
+
 def test_statistics_of_awkward_rows(spark):
     docs = with_clashes(awkward_docs(spark))
     got = rules.with_statistics(docs)
