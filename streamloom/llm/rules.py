@@ -30,23 +30,20 @@ Condition = tuple[str, str, float]
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the five ``STATISTICS`` (long) of each whole text; NULL has none of anything.
 
-    A text's three-word windows are hashed, sorted and compared with their neighbours inside the row, so nothing is
-    shuffled. Hash and position share 64 bits; a text of n words leaves 63 - log2(n) for the hash.
+    A text's three-word windows are hashed, sorted with their places and compared with their neighbours inside the row, so nothing is
+    shuffled. Hashes have 64 bits whatever the length of the text.
     """
     kept = [c for c in docs.columns if c not in STATISTICS]
-    w, bits, runs, again, lines = (fresh(*kept) for _ in range(5))
+    w, runs, again, lines = (fresh(*kept) for _ in range(4))
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(*[F.col(f"`{c}`") for c in kept])
     rows = rows.withColumn(w, words(F.col(text))).withColumn(lines, F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    rows = rows.withColumn(bits, F.ceil(F.log2(F.size(w) + 1)).cast("int"))
-    run = lambda i: F.call_function("shiftleft", F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)), F.col(bits)).bitwiseOR(i.cast("long"))
+    run = lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("place"))
     places = F.when(F.size(w) >= 3, F.sequence(F.lit(0), F.size(w) - 3)).otherwise(F.array().cast("array<int>"))
     rows = rows.withColumn(runs, F.sort_array(F.transform(places, run)))
-    head = lambda x: F.call_function("shiftright", x, F.col(bits))
-    twice = F.filter(runs, lambda x, i: (head(x) == head(F.get(runs, i + 1))) | (head(x) == head(F.get(runs, i - 1))))
+    twice = F.filter(runs, lambda x, i: (x.h == F.get(runs, i + 1)["h"]) | (x.h == F.get(runs, i - 1)["h"]))
     rows = rows.withColumn(again, twice)
-    place = lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.col(bits)) - 1)
-    covered = F.array_distinct(F.flatten(F.transform(again, lambda x: F.array(place(x), place(x) + 1, place(x) + 2))))
+    covered = F.array_distinct(F.flatten(F.transform(again, lambda x: F.array(x.place, x.place + 1, x.place + 2))))
     made = {
         "n_words": F.size(w),
         "word_chars": F.length(F.translate(body, BLANKS, "")),
