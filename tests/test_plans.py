@@ -7,7 +7,7 @@ from streamloom.catalog import QUERIES
 # Queries that run something before their plan is known.
 EAGER = {n for n in QUERIES if n.endswith("_stream")} | {
     "topn_two_stage", "sink_rolling_files", "sink_labelled", "sink_routed", "exactly_once_progress",
-    "cross_batch_order_state", "scan_text", "insert_overwrite",
+    "cross_batch_order_state", "list_state_timer", "scan_text", "insert_overwrite",
 }
 
 
