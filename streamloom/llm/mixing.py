@@ -37,7 +37,7 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: floa
     level = (total - F.coalesce(F.sum("full").over(before), F.lit(0.0))) / F.sum("weight").over(after)
     levels = weighed.withColumn("level", level)
     # The first source that its own level does not fill sets the level for itself and all after it.
-    levels = levels.withColumn("open", F.min(F.when(F.col("level") * F.col("weight") <= F.col("full"), F.struct(F.col("full") / F.col("weight"), "level"))).over(Window.partitionBy()))
+    levels = levels.withColumn("open", F.min(F.when(F.col("level") * F.col("weight") <= F.col("full"), F.struct(F.col("full") / F.col("weight"), F.col("source").isNull(), F.col("source"), "level"))).over(Window.partitionBy()))
     target = F.least(F.col("full"), F.coalesce(F.col("open")["level"] * F.col("weight"), F.col("full")))
     return levels.select("source", "source_size", target.alias("target"))
 

@@ -108,7 +108,7 @@ levels AS (
     SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE - coalesce(sum(cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
             / sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
     FROM weighed WINDOW w AS (ORDER BY cap / weight, source NULLS LAST)),
-level AS (SELECT level FROM levels WHERE level * weight <= cap ORDER BY cap / weight LIMIT 1),
+level AS (SELECT level FROM levels WHERE level * weight <= cap ORDER BY cap / weight, source NULLS LAST LIMIT 1),
 targets AS (SELECT source, source_size, least(cap, coalesce((SELECT level FROM level) * weight, cap)) AS target FROM levels),
 plan AS (
     SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets),
