@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from streamloom.catalog.registry import CLICKS, DISORDER, query
 from streamloom.operators import lateness, ranking, windows
-from streamloom.operators.running import chunk_for
+from streamloom.operators.running import cuts_for
 from streamloom.plans.derived import clicks, disordered_clicks
 
 SECOND, MINUTE, HOUR, DAY = 1000, 60_000, 3_600_000, 86_400_000
@@ -216,7 +216,7 @@ def _(spark, sf):
     UNION ALL SELECT url, win_start, win_end, seq, count, 'refire' FROM counted WHERE status = 'late_refire'""")
 def _(spark, sf):
     rows = disordered_clicks(spark, sf)
-    chunk = chunk_for(rows, "seq")
+    chunk = cuts_for(rows, "seq")
     split = lateness.split_late(rows, LATE_SIZE, LATE_DELAY, LATE_ALLOWED, chunk=chunk)
     return lateness.emissions(split, ["url"], chunk=chunk)
 

@@ -9,19 +9,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from streamloom.functions.clock import window_floor
-from streamloom.operators.running import running
+from streamloom.operators.running import Cuts, running
 
 ON_TIME, REFIRE, DROPPED = "on_time", "late_refire", "late_dropped"
 
 
-def with_watermark(df: DataFrame, delay_ms: int, seq: str = "seq", time: str = "timestamp", chunk: int | None = None) -> DataFrame:
+def with_watermark(df: DataFrame, delay_ms: int, seq: str = "seq", time: str = "timestamp", chunk: int | Cuts | None = None) -> DataFrame:
     """Add ``wm``, the watermark each row meets on arrival."""
     seen = running(df, [], seq, {"__seen": ("max", F.col(time))}, chunk, earlier_only=True)
     return seen.withColumn("wm", F.col("__seen") - delay_ms - 1).drop("__seen")
 
 
 def with_merged_watermark(
-    df: DataFrame, side: Column, delays_ms: dict[str, int], seq: str = "seq", time: str = "timestamp", chunk: int | None = None,
+    df: DataFrame, side: Column, delays_ms: dict[str, int], seq: str = "seq", time: str = "timestamp", chunk: int | Cuts | None = None,
 ) -> DataFrame:
     """Add ``wm`` for a union of streams: the least of the inputs' watermarks, NULL until all have one."""
     seen = {f"__wm_{name}": ("max", F.when(side == name, F.col(time) - delay - 1)) for name, delay in delays_ms.items()}
@@ -38,7 +38,7 @@ def without_watermark(df: DataFrame) -> DataFrame:
 
 
 def split_late(
-    df: DataFrame, size_ms: int, delay_ms: int, lateness_ms: int, seq: str = "seq", time: str = "timestamp", chunk: int | None = None,
+    df: DataFrame, size_ms: int, delay_ms: int, lateness_ms: int, seq: str = "seq", time: str = "timestamp", chunk: int | Cuts | None = None,
 ) -> DataFrame:
     """Add the tumbling window of each row, the watermark it meets, and ``status``.
 
@@ -61,10 +61,10 @@ def on_time_counts(split: DataFrame, keys: list[str]) -> DataFrame:
     return kept.groupBy(*keys, "win_start", "win_end").agg(F.count(F.lit(1)).alias("count"))
 
 
-def emissions(split: DataFrame, keys: list[str], seq: str = "seq", chunk: int | None = None) -> DataFrame:
+def emissions(split: DataFrame, keys: list[str], seq: str = "seq", chunk: int | Cuts | None = None) -> DataFrame:
     """Everything the windows emit: the first firing, then one updated count per re-firing row.
 
-    ``seq`` is NULL for first firings. Give the ``chunk`` of the recorded arrivals (``running.chunk_for``); finding
+    ``seq`` is NULL for first firings. Give the ``chunk`` of the recorded arrivals (``running.cuts_for``); finding
     it here would run the whole split once more.
     """
     group = [*keys, "win_start", "win_end"]

@@ -1,28 +1,63 @@
 """Running aggregates in arrival order that split a hot key over many tasks.
 
 A plain window partitioned by key sends a whole key to one task. Here the rows of a key are cut into
-stretches of at most ``chunk`` arrival numbers. Each stretch is aggregated on the map side, the few
+stretches of the arrival order. Each stretch is aggregated on the map side, the few
 stretch results per key are accumulated, and what is carried into a stretch is put before its rows as one more
-row, so a window over the stretch gives the running value. The rows are shuffled once, nothing is joined, and
-no stretch has more than ``chunk`` rows.
+row, so a window over the stretch gives the running value. The rows are shuffled once and nothing is joined.
+
+Stretches follow the rows, not the span of their numbers: ``cuts_for`` takes quantiles of the arrival numbers, between which rows
+are equally many wherever gaps lie, and cuts each part into equal widths until stretches have about the root of all rows.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from streamloom.functions.clock import window_floor
 
 SMALLEST_CHUNK = 1024
+#: Parts between quantiles at most: however unevenly numbers lie inside a part, no stretch has more rows than about a 1,024th of all.
+MOST_PARTS = 1024
+#: Error of a quantile, as one over a share of the rows: a tenth of a part.
+_ACCURACY = 10 * MOST_PARTS
 _STRETCH = "__stretch"
 
 
-def chunk_for(df: DataFrame, seq: str) -> int:
-    """Stretch length near the root of the arrival span, so both levels grow only with the root."""
-    low, high = df.agg(F.min(seq), F.max(seq)).first()
-    if low is None:
-        return SMALLEST_CHUNK
-    return max(SMALLEST_CHUNK, int((high - low + 1) ** 0.5))
+@dataclass(frozen=True)
+class Cuts:
+    """Where stretches of arrival numbers begin: part ``i`` starts at ``lows[i]`` and is cut into stretches ``widths[i]`` long."""
+
+    lows: tuple[int, ...]
+    widths: tuple[int, ...]
+
+    def start(self, seq: Column) -> Column:
+        """The first number of the stretch that holds ``seq``; numbers below all parts belong to the first one."""
+        lows, widths = F.lit(list(self.lows)), F.lit(list(self.widths))
+        steps = [1 << b for b in reversed(range((len(self.lows) - 1).bit_length()))]
+        # Binary search: the last part that starts at or below the number, as a place from 0.
+        part = F.lit(0) if not steps else F.aggregate(
+            F.lit(steps), F.lit(0),
+            lambda at, step: F.when(F.get(lows, at + step) <= seq, at + step).otherwise(at),
+        )
+        return F.transform(F.array(part), lambda at: F.get(lows, at) + window_floor(seq - F.get(lows, at), F.get(widths, at)))[0]
+
+
+def cuts_for(df: DataFrame, seq: str) -> Cuts:
+    """Stretches of about the root of the number of rows (``SMALLEST_CHUNK`` at least), by quantiles of the arrival numbers: one job, a small sketch per task."""
+    shares = [i / MOST_PARTS for i in range(MOST_PARTS + 1)]
+    rows, marks = df.agg(F.count(seq), F.percentile_approx(seq, shares, _ACCURACY)).first()
+    if not rows:
+        return Cuts((0,), (SMALLEST_CHUNK,))
+    target = max(SMALLEST_CHUNK, int(rows ** 0.5))
+    parts = max(1, min(MOST_PARTS, rows // target))
+    bounds = sorted({marks[round(i * MOST_PARTS / parts)] for i in range(parts + 1)})
+    lows = bounds[:-1] or bounds
+    pieces = max(1, -(-rows // (parts * target)))
+    # The last bound is the largest number and belongs to the last part.
+    widths = [max(1, -(-(high + 1 - low) // pieces)) for low, high in zip(lows, bounds[1:] or bounds)]
+    return Cuts(tuple(lows), tuple(widths))
 
 
 def running(
@@ -30,19 +65,22 @@ def running(
     keys: list[str],
     seq: str,
     values: dict[str, tuple[str, Column]],
-    chunk: int | None = None,
+    chunk: int | Cuts | None = None,
     earlier_only: bool = False,
 ) -> DataFrame:
     """Add running aggregates to every row of ``df``.
 
-    ``seq`` is a unique whole number giving the arrival order. ``values`` maps a new column to
+    ``seq`` is a unique whole number giving the arrival order; rows without one are dropped. ``values`` maps a new column to
     ``(kind, expression)`` with kind ``sum``, ``count``, ``max``, ``min`` or ``first``. With
-    ``earlier_only`` the row itself is left out.
+    ``earlier_only`` the row itself is left out. ``chunk`` is a stretch length in arrival numbers, or where
+    stretches begin; by default ``cuts_for`` finds that.
     """
-    chunk = chunk or chunk_for(df, seq)
+    df = df.filter(F.col(seq).isNotNull())
+    chunk = chunk or cuts_for(df, seq)
+    start = chunk.start(F.col(seq)) if isinstance(chunk, Cuts) else window_floor(F.col(seq), chunk)
     groups = [*keys, _STRETCH]
     inputs = {f"__x_{name}": _input(kind, expr) for name, (kind, expr) in values.items()}
-    cut = df.withColumns({_STRETCH: window_floor(F.col(seq), chunk), **inputs})
+    cut = df.withColumns({_STRETCH: start, **inputs})
 
     kinds = {name: kind for name, (kind, _) in values.items()}
     stretches = cut.groupBy(*groups).agg(*[_total(kind, f"__x_{name}", seq).alias(f"__x_{name}") for name, kind in kinds.items()])
@@ -83,12 +121,12 @@ def _output(kind: str, result: Column) -> Column:
     return F.coalesce(result, F.lit(0)) if kind == "count" else result
 
 
-def running_sum_keep_first(df: DataFrame, key: str, value: str, keep: list[str], seq: str = "seq", chunk: int | None = None) -> DataFrame:
+def running_sum_keep_first(df: DataFrame, key: str, value: str, keep: list[str], seq: str = "seq", chunk: int | Cuts | None = None) -> DataFrame:
     """Running sum of ``value`` per key; the columns in ``keep`` stay at the key's first record."""
     return _with_first(df, key, ("sum", value), keep, seq, chunk)
 
 
-def running_max_keep_first(df: DataFrame, key: str, value: str, keep: list[str], seq: str = "seq", chunk: int | None = None) -> DataFrame:
+def running_max_keep_first(df: DataFrame, key: str, value: str, keep: list[str], seq: str = "seq", chunk: int | Cuts | None = None) -> DataFrame:
     """Running maximum of ``value`` per key; the columns in ``keep`` stay at the key's first record."""
     return _with_first(df, key, ("max", value), keep, seq, chunk)
 
@@ -101,13 +139,13 @@ def _with_first(df, key, aggregate, keep, seq, chunk):
     return out.select(F.col(seq), F.col(key), *[F.col(f"__r_{c}").alias(c) for c in [*keep, value]])
 
 
-def running_pair_sum(df: DataFrame, key: str, value: Column, seq: str = "seq", chunk: int | None = None) -> DataFrame:
+def running_pair_sum(df: DataFrame, key: str, value: Column, seq: str = "seq", chunk: int | Cuts | None = None) -> DataFrame:
     """``(key, value)`` pairs reduced by adding: one updated pair per record."""
     pairs = df.select(F.col(seq), F.col(key), value.alias("one"))
     return running(pairs, [key], seq, {"total": ("sum", F.col("one"))}, chunk).drop("one")
 
 
-def running_reduce_latest(df: DataFrame, key: str, value: str, latest: list[str], seq: str = "seq", chunk: int | None = None) -> DataFrame:
+def running_reduce_latest(df: DataFrame, key: str, value: str, latest: list[str], seq: str = "seq", chunk: int | Cuts | None = None) -> DataFrame:
     """Running sum of ``value`` per key; the columns in ``latest`` come from the record itself."""
     out = running(df.select(seq, key, *latest, value), [key], seq, {"__sum": ("sum", F.col(value))}, chunk)
     return out.select(F.col(seq), F.col(key), *latest, F.col("__sum").alias(value))
@@ -115,7 +153,7 @@ def running_reduce_latest(df: DataFrame, key: str, value: str, latest: list[str]
 
 def count_window(
     df: DataFrame, key: str, size: int, every: int, aggs: dict[str, tuple[str, str]],
-    seq: str = "seq", chunk: int | None = None,
+    seq: str = "seq", chunk: int | Cuts | None = None,
 ) -> DataFrame:
     """Aggregate the last ``size`` rows of each key at every ``every``-th row of the key.
 

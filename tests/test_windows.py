@@ -46,6 +46,31 @@ def test_running_against_brute_force(spark, earlier_only):
         assert r["r_first"] == (seen[0] if seen else None)
 
 
+@pytest.mark.parametrize("numbers", [
+    list(range(6000)),
+    [*range(5999), 10**12],  # one number far behind all others
+    [-10**12, *range(3000), *range(10**9, 10**9 + 2999)],
+    [i * i * i for i in range(6000)],
+])
+def test_stretches_follow_the_rows_and_not_the_span(spark, monkeypatch, numbers):
+    monkeypatch.setattr(running, "SMALLEST_CHUNK", 16)
+    df = spark.createDataFrame([("hot", 1, n) for n in numbers], "k string, v int, seq bigint")
+    cuts = running.cuts_for(df, "seq")
+    sizes = [r["count"] for r in df.groupBy(cuts.start(F.col("seq"))).count().collect()]
+    assert max(sizes) <= 4 * 6000 ** 0.5 and len(sizes) <= 4 * 6000 ** 0.5
+    starts = [r[0] for r in df.orderBy("seq").select(cuts.start(F.col("seq"))).collect()]
+    assert starts == sorted(starts)  # stretches are in the order of arrival
+    got = running.running(df, ["k"], "seq", {"n": ("sum", F.col("v"))}).orderBy("seq").collect()
+    assert [r["n"] for r in got] == list(range(1, 6001))
+
+
+def test_stretches_of_odd_tables(spark):
+    none = spark.createDataFrame([], "seq bigint")
+    assert running.running(none, [], "seq", {"n": ("count", F.lit(1))}).collect() == []
+    one = spark.createDataFrame([(5,), (None,)], "seq bigint")
+    assert [tuple(r) for r in running.running(one, [], "seq", {"n": ("count", F.lit(1))}).collect()] == [(5, 1)]
+
+
 @pytest.mark.parametrize("chunk", [3, 1000])
 def test_count_window_against_brute_force(spark, rows, chunk):
     data = [("hot" if i % 3 else "cold", i, i * i % 17) for i in range(100)]
