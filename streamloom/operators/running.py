@@ -34,10 +34,12 @@ class Cuts:
 
     def start(self, seq: Column) -> Column:
         """The first number of the stretch that holds ``seq``; numbers below all parts belong to the first one."""
+        if len(self.lows) == 1:
+            return F.lit(self.lows[0]) + window_floor(seq - F.lit(self.lows[0]), self.widths[0])
         lows, widths = F.lit(list(self.lows)), F.lit(list(self.widths))
         steps = [1 << b for b in reversed(range((len(self.lows) - 1).bit_length()))]
         # Binary search: the last part that starts at or below the number, as a place from 0.
-        part = F.lit(0) if not steps else F.aggregate(
+        part = F.aggregate(
             F.lit(steps), F.lit(0),
             lambda at, step: F.when(F.get(lows, at + step) <= seq, at + step).otherwise(at),
         )
@@ -53,11 +55,16 @@ def cuts_for(df: DataFrame, seq: str) -> Cuts:
     target = max(SMALLEST_CHUNK, int(rows ** 0.5))
     parts = max(1, min(MOST_PARTS, rows // target))
     bounds = sorted({marks[round(i * MOST_PARTS / parts)] for i in range(parts + 1)})
-    lows = bounds[:-1] or bounds
+    bounds = [*bounds[:-1], bounds[-1] + 1] if len(bounds) > 1 else [bounds[0], bounds[0] + 1]
     pieces = max(1, -(-rows // (parts * target)))
-    # The last bound is the largest number and belongs to the last part.
-    widths = [max(1, -(-(high + 1 - low) // pieces)) for low, high in zip(lows, bounds[1:] or bounds)]
-    return Cuts(tuple(lows), tuple(widths))
+    # Neighbouring parts about as dense as each other become one, with the width of the densest: numbers without gaps need no search.
+    lows, widths, low, least, most = [], [], bounds[0], None, None
+    for at, end in zip(bounds, bounds[1:]):
+        width = end - at
+        if least and max(most, width) > 2 * min(least, width):
+            lows, widths, low, least = [*lows, low], [*widths, -(-least // pieces)], at, None
+        least, most = (min(least, width), max(most, width)) if least else (width, width)
+    return Cuts((*lows, low), (*widths, -(-least // pieces)))
 
 
 def running(
