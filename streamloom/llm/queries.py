@@ -40,7 +40,8 @@ URL_RULES = [
     ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
     ("com", "/fr/", "allow"), ("com", "/de/", "block"),
 ]
-#: Hosts whose pages make up the list of the URL filter.
+#: The list of the URL filter: pages on these hosts, and pages whose payload's MD5 begins so (one in 16, on any host: they stand for reported payloads).
+REPORTED = "0"
 LISTED_HOSTS = r"(^|\.)(casino-win|free-bets|ads-track|spam-farm|cheap-pills|adult-x)\."
 
 
@@ -48,11 +49,12 @@ LISTED_HOSTS = r"(^|\.)(casino-win|free-bets|ads-track|spam-farm|cheap-pills|adu
 WITH parts AS (
     SELECT page_id,
         translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-        coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+        coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path, coalesce(md5(html) LIKE '0%', false) AS reported
     FROM pages),
 keyed AS (
     SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '(\.html|/)+$', '') END AS canonical FROM parts),
-listed AS (SELECT DISTINCT canonical FROM keyed WHERE canonical IS NOT NULL AND regexp_matches(host, '(^|\.)(casino-win|free-bets|ads-track|spam-farm|cheap-pills|adult-x)\.')),
+listed AS (SELECT DISTINCT canonical FROM keyed WHERE canonical IS NOT NULL
+    AND (reported OR regexp_matches(host, '(^|\.)(casino-win|free-bets|ads-track|spam-farm|cheap-pills|adult-x)\.'))),
 ruled AS (
     SELECT page_id, host, path, canonical,
         CASE WHEN ('.' || host) LIKE '%.example.org' AND path LIKE '/en/1%' THEN 'example.org/en/1'
@@ -66,10 +68,11 @@ SELECT page_id, host, path, rule, l.canonical IS NOT NULL AS listed,
          WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled LEFT JOIN listed l USING (canonical)""")
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page's URL against the rules, and against the URLs of pages on listed hosts."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.where(host_of(F.col("url")).rlike(LISTED_HOSTS)).select("url")
-    return judge_urls(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "listed", "verdict")
+    """Every page's URL against the rules, and against the URLs of pages on listed hosts and of reported payloads."""
+    pages = table(spark, sf_dir, "pages")
+    reported = F.md5(F.col("html").cast("binary")).startswith(REPORTED)
+    listed = pages.where(host_of(F.col("url")).rlike(LISTED_HOSTS) | reported).select("url")
+    return judge_urls(pages.select("page_id", "url"), listed, URL_RULES).select("page_id", "host", "path", "rule", "listed", "verdict")
 
 
 @query("op5_token_counts")

@@ -1,6 +1,8 @@
 """Operators over the whole corpus: mixing, sharding, quality, rules, decontamination, near-duplicates, the pipeline."""
 
 import collections
+import hashlib
+import math
 import random
 import re
 import sys
@@ -8,6 +10,7 @@ import zlib
 from pathlib import Path
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -177,6 +180,64 @@ def test_resample_separates_held_out_labels(spark, sf):
     assert dict(zip(got.doc_id, got.kept)) == dict(zip(again.doc_id, again.kept))
 
 
+def plain_grams(text):
+    """The buckets of a text's n-grams, word by word in whole numbers."""
+    odd, ones = 0x9E3779B97F4A7C15, (1 << 64) - 1
+    kinds = [r"[^\w]+", r"[^\W\d_]+[^\w\s]?", r"\W*\d[\d\W]*", r"\w+\W{2,}", r"\w+(\W\w+)+\W?"]
+    w, had, states, grams = text.split(), set(), [], []
+    for i, word in enumerate(w):
+        kind = next((k for k, p in enumerate(kinds) if re.fullmatch(p, word)), 5)
+        capital = word.upper() == word and word.lower() != word
+        kind = {(1, True): 7 if len(word) > 2 else 1, (3, True): 6}.get((kind, capital), kind)
+        run = tuple(w[i - 2:i + 1]) if i > 1 else None
+        seen = 3 if run in had else 0
+        had |= {run} if run else set()
+        if any(i >= d and w[i - d] == word for d in (2, 3)):
+            seen = 2
+        if i and w[i - 1] == word:
+            seen = 1
+        states.append(kind * 4 + seen + 1)
+        code, last = zlib.crc32(word.encode()), zlib.crc32(w[i - 1].encode()) if i else 0
+        grams.append(code * odd)
+        if i:
+            grams.append((last * odd + code) * odd + 1)
+        grams.append(states[i] * odd + 2)
+        grams.append(sum(states[i - d] << 6 * d for d in range(min(i, 2) + 1)) * odd + 3)
+    grams = [g & ones for g in grams]
+    return [((g ^ g >> 29) * odd & ones) >> 48 for g in grams]
+
+
+def test_resample_against_plain_python(spark, sf):
+    docs = read(sf, "documents")
+    texts = {d: t or "" for d, t in zip(docs.doc_id, docs.text)}
+    marks = read(sf, "labels").dropna(subset=["quality"])
+    good = {d: int(q) for d, q in zip(marks.doc_id, marks.quality) if d in texts}
+    grams = {d: plain_grams(t) for d, t in texts.items()}
+    raw, target = collections.Counter(), collections.Counter()
+    for d, g in grams.items():
+        raw.update(g)
+        target.update(g if good.get(d) == 1 else [])
+    model = lambda c, g: (c[g] + 1) / (c.total() + 65536)
+    ratio = {g: math.log(model(target, g)) - math.log(model(raw, g)) for g in raw}
+    weight = {d: 60 * sum(ratio[x] for x in g) / len(g) if g else 0.0 for d, g in grams.items()}
+    at = lambda values, share: sorted(values)[max(0, math.ceil(share * len(values)) - 1)]
+    middle = (at([weight[d] for d, q in good.items() if q], 0.005) + at([weight[d] for d, q in good.items() if not q], 0.995)) / 2
+    key = {}
+    for d, t in texts.items():
+        tie = xxhash.xxh64_intdigest(t.encode(), 42)
+        tie -= (tie >> 63) << 64
+        draw = int(hashlib.md5(f"3|{d}|{tie}".encode()).hexdigest()[:12], 16)
+        key[d] = weight[d] - math.log(-math.log((draw + 0.5) / 2**48))
+    k = round(sum(1 / (1 + math.exp(middle - x)) for x in weight.values()))
+    kept = set(sorted(key, key=key.get, reverse=True)[:k])
+    assert 0 < k < len(texts)
+    got = QUERIES["op3_importance_resampling"](spark, sf).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r.log_weight == pytest.approx(weight[r.doc_id], abs=1e-6) and r.gumbel_key == pytest.approx(key[r.doc_id], abs=1e-6)
+        assert r.kept == (r.doc_id in kept)
+
+
 def test_top_k_is_exact(spark):
     random.seed(1)
     keys = [random.choice([random.random(), 0.5, 0.25 + random.random() * 1e-9]) for _ in range(3000)]

@@ -15,7 +15,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from helpers import awkward_docs, bag, empty_docs, labels, read, with_clashes  # noqa: E402
 
 from streamloom.llm import toxicity, warc  # noqa: E402
-from streamloom.llm.queries import QUERIES, URL_RULES  # noqa: E402
+from streamloom.llm.queries import LISTED_HOSTS, QUERIES, URL_RULES  # noqa: E402
 from streamloom.llm.tokens import count_tokens, counter, read_merges  # noqa: E402
 from streamloom.llm.urls import build_filter, canonical, judge_urls  # noqa: E402
 
@@ -87,6 +87,13 @@ def test_url_tables_may_be_empty(spark):
     assert {r.verdict for r in judge_urls(urls(spark, ["http://a.net/b"]), none, URL_RULES).collect()} == {"allow"}
 
 
+def test_the_list_decides_on_hosts_that_no_pattern_knows(spark, sf):
+    rows = QUERIES["op4_url_filter"](spark, sf).where("rule IS NULL").toPandas()
+    usual = rows[~rows.host.str.contains(LISTED_HOSTS)]
+    blocked = usual[usual.verdict == "block"]
+    assert 0 < len(blocked) < len(usual) and blocked.listed.all() and set(blocked.host) & set(usual[usual.verdict == "allow"].host)
+
+
 def test_filter_passes_every_listed_url_and_few_others(spark):
     listed = spark.range(4000).select(F.concat(F.lit("h.net/"), "id").alias("canonical"))
     blocks, n = build_filter(listed, 4000)
