@@ -15,7 +15,7 @@ def parsed(text: str, fields: dict[str, str]) -> Column:
     return F.inline(F.array(F.from_json(text, schema)))
 
 
-#: How deep an object may be nested for a pattern to find its end; deeper ones are found by a scan over the text's tokens.
+#: How many levels an object may have inside it for a pattern to find its end; deeper ones are found by a scan over the text's tokens.
 DEPTH = 8
 
 _STRING = r'"(?:[^"\\]++|\\[\s\S])*+"'
@@ -29,8 +29,8 @@ def _nested(depth: int) -> str:
 def raw_object(text: Column, name: str) -> Column:
     """The object or list under a top-level name of a JSON text, character for character and nested to any depth; NULL if there is none.
 
-    A parsed and rewritten object would lose digits and closing zeros of its numbers. A pattern finds what is nested ``DEPTH``
-    deep at most; only a text in which it finds nothing is scanned.
+    A parsed and rewritten object would lose digits and closing zeros of its numbers. A pattern finds an object with ``DEPTH`` levels
+    inside at most; only a text in which it finds nothing is scanned.
     """
     value = _nested(DEPTH)
     member = rf'\s*+{_STRING}\s*+:\s*+(?:{_STRING}|{value}|[^,{{}}\[\]"]++)\s*+,'
