@@ -21,22 +21,18 @@ from streamloom.plans.derived import (
 from streamloom.plans.order_wide import order_wide_stream
 from streamloom.session import scratch
 from streamloom.sources.files import read_table, stream_table
-from streamloom.streaming import queries, sinks, stateful
+from streamloom.streaming import meeting, queries, sinks, stateful
 from streamloom.streaming.run import EndMark, feed_in_order, read_batches, run_latest, run_to_table, start_to_table
 
 DELAY = "2 seconds"
+#: How long an order row waits for its partner in a stream's state; pairs further apart are settled in batch.
+WAIT, WAIT_DAYS = "90 days", 90
 
 
 def _clicks(spark, sf):
     return clicks_of(stream_table(spark, sf, "events"))
 
 
-def _ending(spark, sf):
-    """Clicks, and the mark that closes their windows after the last of them."""
-    end = EndMark(spark)
-    return clicks_of(end.on(stream_table(spark, sf, "events"), "ts")), end
-
-
 def _in_time(spark, sf, make, parts=3):
     """What a stream gives that gets the clicks in the order of their time, in several micro-batches, and the mark that closes the windows."""
     clicks = clicks_of(read_table(spark, sf, "events"))
@@ -70,10 +66,8 @@ def _(spark, sf):
 
 @query("topn_two_stage", TOP_TWO)
 def _(spark, sf):
-    rows, end = _ending(spark, sf)
-    path, checkpoint = scratch(spark, "topn"), scratch(spark, "topn-checkpoint")
-    end.run(lambda: queries.start_topn(rows, DAY, DAY // 2, 2, DELAY, path, checkpoint))
-    return spark.read.schema("win_start bigint, win_end bigint, url string, count bigint, rank int").parquet(path).drop("batch_id")
+    clicks = clicks_of(read_table(spark, sf, "events"))
+    return queries.topn_in_order(spark, clicks, DAY, DAY // 2, 2, DELAY, 3, END).drop("batch_id")
 
 
 @query("union_streams_wm_stream", TUMBLE)
@@ -129,11 +123,10 @@ def _(spark, sf):
 
 @query("order_wide_stream", ORDER_WIDE)
 def _(spark, sf):
-    wide = order_wide_stream(
-        order_headers_of(stream_table(spark, sf, "orders")), order_details_of(stream_table(spark, sf, "lineitem")),
-        user_dim(spark, sf), province_dim(spark, sf), F.lit(TODAY).cast("date"), "1 day", "4000 days",
+    return order_wide_stream(
+        spark, order_headers_of(read_table(spark, sf, "orders")), order_details_of(read_table(spark, sf, "lineitem")),
+        user_dim(spark, sf), province_dim(spark, sf), F.lit(TODAY).cast("date"), WAIT,
     )
-    return run_to_table(wide).drop("batch_id")
 
 
 @query("sink_rolling_files", f"""
@@ -175,30 +168,40 @@ def _(spark, sf):
     return read_batches(spark, path, rows.schema).drop("batch_id")
 
 
+def _headers(spark, sf, shift=0):
+    return read_table(spark, sf, "orders").select((F.col("o_orderkey") + shift).alias("id"), F.col("o_totalprice").alias("total_amount"), F.col("o_orderdate").alias("header_time"))
+
+
+def _details(spark, sf):
+    return read_table(spark, sf, "lineitem").selectExpr("l_orderkey AS order_id", "l_linenumber AS line", "l_partkey AS sku_id", "l_shipdate AS detail_time")
+
+
+SIDES = ("id", "order_id", "header_time", "detail_time")
+
+
 @query("cross_batch_order_state", """
     SELECT o_orderkey AS id, o_totalprice AS total_amount, l_partkey AS sku_id
     FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
 def _(spark, sf):
-    headers = _in_files(spark, read_table(spark, sf, "orders").selectExpr(
-        "o_orderkey AS id", "o_totalprice AS total_amount", "CAST(o_orderdate AS TIMESTAMP) AS header_time"), 3)
-    details = _in_files(spark, read_table(spark, sf, "lineitem").selectExpr(
-        "l_orderkey AS id", "l_partkey AS sku_id", "CAST(l_shipdate AS TIMESTAMP) AS detail_time"), 3)
-    # Files come in no time order, so the watermark leaves room for the whole span.
-    pairs = queries.keyed_join(headers, details, "id", "header_time", "detail_time", "8000 days", "4000 days")
-    return run_to_table(pairs).select("id", "total_amount", "sku_id")
+    pairs = meeting.met_in_parts(spark, _headers(spark, sf), _details(spark, sf), *SIDES, WAIT)
+    return pairs.where(F.col("left").isNotNull() & F.col("right").isNotNull()).select("left.id", "left.total_amount", "right.sku_id")
+
+
+@query("order_expiry_stream", f"""
+    WITH headers AS (SELECT o_orderkey + 4 AS id, CAST(o_orderdate AS TIMESTAMP) AS header_time FROM orders),
+    details AS (SELECT l_orderkey AS order_id, l_linenumber AS line, CAST(l_shipdate AS TIMESTAMP) AS detail_time FROM lineitem)
+    SELECT id, order_id, line, CASE WHEN order_id IS NULL THEN 'left alone' WHEN id IS NULL THEN 'right alone' ELSE 'met' END AS outcome
+    FROM headers FULL OUTER JOIN details ON id = order_id
+        AND detail_time BETWEEN header_time - INTERVAL {WAIT_DAYS} DAY AND header_time + INTERVAL {WAIT_DAYS} DAY""")
+def _(spark, sf):
+    out = meeting.expired_in_parts(spark, _headers(spark, sf, 4), _details(spark, sf), *SIDES, WAIT)
+    return out.select("left.id", "right.order_id", "right.line", "outcome")
 
 
 @query("full_outer_orders_stream", ORACLES["full_outer_orders"])
 def _(spark, sf):
-    end = EndMark(spark)
-    headers = end.on(stream_table(spark, sf, "orders"), "o_orderdate")
-    details = end.on(stream_table(spark, sf, "lineitem"), "l_shipdate")
-    headers = headers.selectExpr("o_orderkey + 4 AS id", "o_totalprice AS total_amount", "CAST(o_orderdate AS TIMESTAMP) AS header_time")
-    details = details.selectExpr("l_orderkey AS id", "l_orderkey AS order_id", "l_partkey AS sku_id", "CAST(l_shipdate AS TIMESTAMP) AS detail_time")
-    pairs = queries.keyed_join(headers, details, "id", "header_time", "detail_time", "1 day", "4000 days", "full_outer")
-    out = run_to_table(pairs, end=end)
-    real = F.coalesce("header_time", "detail_time") < F.lit(EndMark.AT).cast("timestamp")
-    return out.filter(real).selectExpr("__key AS header_id", "total_amount", "order_id", "sku_id")
+    out = meeting.met_in_parts(spark, _headers(spark, sf, 4), _details(spark, sf), *SIDES, WAIT)
+    return out.select(F.col("left.id").alias("header_id"), "left.total_amount", "right.order_id", "right.sku_id")
 
 
 @query("sink_routed", f"SELECT CAST(seq AS VARCHAR) AS key, topic, value FROM ({CDC_FACTS})")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from streamloom.functions.clock import date_text_part, hour_text_part
 from streamloom.operators.joins import dim_lookup
 from streamloom.plans.dau import province_attributes, user_attributes
 from streamloom.schemas import ORDER_INFO, ORDER_WIDE, copy_same_name
+from streamloom.streaming.meeting import met_in_parts
 
 _LOOKED_UP = [
     "create_date", "create_hour", "province_name", "province_area_code", "province_3166_2_code",
@@ -46,22 +47,11 @@ def order_wide(orders: DataFrame, details: DataFrame, users: DataFrame, province
 
 
 def order_wide_stream(
-    orders: DataFrame, details: DataFrame, users: DataFrame, provinces: DataFrame, today: Column, delay: str, within: str,
+    spark: SparkSession, orders: DataFrame, details: DataFrame, users: DataFrame, provinces: DataFrame, today: Column, within: str, parts: int = 3,
 ) -> DataFrame:
-    """Stream form: a row waits for its partner across batches, at most ``within`` apart in event time."""
+    """Stream form over tables fed in time order: a row waits ``within`` in state for its partner, and pairs further apart are settled in batch."""
     time = "yyyy-MM-dd HH:mm:ss"
-    headers = (
-        enrich_orders(orders, users, provinces, today)
-        .withColumn("header_time", F.to_timestamp("create_time", time))
-        .withWatermark("header_time", delay)
-        .drop("create_time")
-    )
-    lines = (
-        _detail_side(details)
-        .withColumn("detail_time", F.to_timestamp("create_time", time))
-        .withWatermark("detail_time", delay)
-    )
-    close = F.expr(
-        f"id = order_id AND detail_time BETWEEN header_time - INTERVAL {within} AND header_time + INTERVAL {within}"
-    )
-    return merge_order(headers.join(lines, close, "inner"))
+    headers = copy_same_name(enrich_orders(orders, users, provinces, today), ORDER_INFO).withColumn("header_time", F.to_timestamp("create_time", time)).drop("create_time")
+    lines = _detail_side(details).withColumn("detail_time", F.to_timestamp("create_time", time))
+    pairs = met_in_parts(spark, headers, lines, "id", "order_id", "header_time", "detail_time", within, parts=parts)
+    return merge_order(pairs.where(F.col("left").isNotNull() & F.col("right").isNotNull()).select("left.*", "right.*").drop("header_time", "detail_time"))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from streamloom.operators.project import split_words
 from streamloom.operators.ranking import topn_per_window
 from streamloom.operators.windows import slide_count_stream
-from streamloom.streaming.run import start_to_table
+from streamloom.streaming.run import EndMark, feed_in_order, start_to_table
 
 
 def word_count(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -38,6 +38,15 @@ def start_topn(
     return start_to_table(counts, path, checkpoint, finish=lambda closed: topn_per_window(closed, n), **trigger)
 
 
+def topn_in_order(spark: SparkSession, clicks: DataFrame, size_ms: int, slide_ms: int, n: int, delay: str, parts: int, end: int) -> DataFrame:
+    """The two stages over a table fed in the order of ``timestamp``, with a mark at ``end`` that closes the last windows; with ``batch_id``."""
+    def start(stream: DataFrame, path: str, checkpoint: str, _mode: str) -> StreamingQuery:
+        return start_topn(stream, size_ms, slide_ms, n, delay, path, checkpoint)
+
+    schema = "win_start bigint, win_end bigint, url string, count bigint, rank int"
+    return feed_in_order(spark, [(clicks, "timestamp")], parts, lambda rows: rows, marks=[{"ts": EndMark.AT, "timestamp": end}], start=start, schema=schema)
+
+
 def keyed_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, delay: str, within: str, how: str = "inner") -> DataFrame:
     """Stream-stream join; rows of a key wait for a partner at most ``within`` apart in event time."""
     left = left.withWatermark(left_ts, delay).withColumnRenamed(key, "__key")
