@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from streamloom.catalog.joins import AGE, PROVINCE_DIM, TODAY, USER_DIM
-from streamloom.catalog.registry import query
+from streamloom.catalog.registry import ORACLES, query
 from streamloom.operators.ranking import dedup_daily
 from streamloom.operators.placement import over_all_cores
 from streamloom.operators.project import filter_first_visit
@@ -78,30 +78,27 @@ def _(spark, sf):
     return log_fanout.log_start(_logs(spark, sf, log_fanout.START_PARTS))
 
 
-LOG_TOPICS = f"""
-    SELECT 'DWD_ERROR_INFO_1018' AS topic, count(*) AS n, CAST(NULL AS HUGEINT) AS sum_ts FROM events WHERE event_type = 'error'
-    UNION ALL SELECT 'DWD_PAGE_LOG_1018', count(*), sum(epoch_us(ts) // 1000) FROM events WHERE {_IS_PAGE}
-    UNION ALL SELECT 'DWD_PAGE_ACTION_1018', count(*), sum((epoch_us(ts) // 1000) + i) FROM (
-        SELECT *, unnest(CASE event_type WHEN 'click' THEN [1] ELSE [1, 2] END) AS i FROM events WHERE event_type IN ('click', 'purchase'))
-    UNION ALL SELECT 'DWD_PAGE_DISPLAY_1018', count(*), sum(epoch_us(ts) // 1000) FROM (
-        SELECT *, unnest(range(1, event_id % 4 + 1)) AS i FROM events WHERE event_type IN ('click', 'purchase'))
-    UNION ALL SELECT 'DWD_START_LOG_1018', count(*), sum(epoch_us(ts) // 1000) FROM events
-        WHERE event_type <> 'error' AND (event_type = 'signup' OR event_id % 10 = 0)"""
-LOG_TOPICS = f"SELECT topic, n, CAST(sum_ts % 1000000007 AS BIGINT) AS sum_ts FROM ({LOG_TOPICS})"
+_OUTPUTS = {"error": "log_error", "page": "log_page", "action": "log_action", "display": "log_display", "start": "log_start"}
+#: Every message with all its fields: each output's own SQL, side by side under its topic.
+LOG_MESSAGES = " UNION ALL BY NAME ".join(f"(SELECT '{log_fanout.TOPICS[output]}' AS topic, * FROM ({ORACLES[name]}))" for output, name in _OUTPUTS.items())
 
+_MESSAGE = (
+    ", ".join(f"{name} string" for name in f"{_NAMES}, page_id, last_page_id, page_item, page_item_type".split(", "))
+    + ", during_time bigint, action_id string, action_item string, action_item_type string"
+    + ", display_type string, display_item string, display_item_type string, display_order string, display_pos_id string"
+    + ", entry string, open_ad_id string, loading_time_ms bigint, open_ad_ms bigint, open_ad_skip_ms bigint, error_code bigint, msg string, ts bigint"
+)
 
-def topic_summary(messages):
-    """Messages per topic, and a check number over their times."""
-    ms = F.get_json_object("value", "$.ts").cast("decimal(38,0)")
-    return messages.groupBy("topic").agg(
-        F.count(F.lit(1)).alias("n"), (F.sum(ms) % 1_000_000_007).cast("bigint").alias("sum_ts")
-    )
+
+def read_messages(messages):
+    """What a consumer reads out of the messages: ``topic`` and the fields of all topics, NULL where a topic has none."""
+    return messages.select("topic", F.from_json("value", _MESSAGE).alias("m")).select("topic", "m.*")
 
 
-@query("log_fanout", LOG_TOPICS)
+@query("log_fanout", LOG_MESSAGES)
 def _(spark, sf):
     events = over_all_cores(read_table(spark, sf, "events"))
-    return topic_summary(log_fanout.route_logs(raw_logs_of(events)))
+    return read_messages(log_fanout.route_logs(raw_logs_of(events)))
 
 
 # --- change routing ----------------------------------------------------------------------------

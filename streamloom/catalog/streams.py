@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from streamloom.catalog.joins import TODAY
-from streamloom.catalog.pipelines import CDC_FACTS, DAU, LOG_TOPICS, ORDER_WIDE, dim_tables, fact_tables, topic_summary
+from streamloom.catalog.pipelines import CDC_FACTS, DAU, LOG_MESSAGES, ORDER_WIDE, dim_tables, fact_tables, read_messages
 from streamloom.catalog.registry import CLICKS, ORACLES, WORDS, query
 from streamloom.catalog.windows import DAY, SECOND, SESSION, SESSION_GAP, SLIDE, TOP_TWO, TUMBLE
 from streamloom.operators import project, windows
@@ -84,13 +84,13 @@ def _(spark, sf):
     return out.filter(F.col("at") < END).select("user", "at", "kind")
 
 
-@query("log_fanout_stream", LOG_TOPICS)
+@query("log_fanout_stream", LOG_MESSAGES)
 def _(spark, sf):
     messages = log_fanout.route_logs(raw_logs_of(stream_table(spark, sf, "events")))
     routed = sinks.routed(messages, F.col("topic"), F.col("value"))
     path = scratch(spark, "topics")
     sinks.sink_routed_files(routed, path, scratch(spark, "topics-checkpoint")).trigger(availableNow=True).start().awaitTermination()
-    return topic_summary(spark.read.schema("key string, value string, topic string").parquet(path))
+    return read_messages(spark.read.schema("key string, value string, topic string").parquet(path))
 
 
 def _change_stream(spark, sf):
