@@ -107,9 +107,9 @@ def _(spark, sf):
 
 @query("dim_upsert_stream", ORACLES["dim_upsert"])
 def _(spark, sf):
-    keyed = cdc.dim_changes(_change_stream(spark, sf), dim_tables(spark, sf))
+    keyed = cdc.dim_changes(cdc.parse_changes(_in_files(spark, changes(spark, sf), 6)), dim_tables(spark, sf))
     path = scratch(spark, "dims")
-    sinks.sink_dimensions(keyed, path, scratch(spark, "dims-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    sinks.sink_dimensions(keyed, path, scratch(spark, "dims-checkpoint"), fold_every=2).trigger(availableNow=True).start().awaitTermination()
     return sinks.read_dimensions(spark, path)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from streamloom.operators.ranking import first_per_key
 from streamloom.shipping import ship_by_value
 from streamloom.streaming.run import write_batches
+from streamloom.streaming.versions import finished
 
 ship_by_value(__name__)
 
@@ -137,18 +138,39 @@ def sink_rolling_files(
     )
 
 
-def sink_dimensions(keyed: DataFrame, path: str, checkpoint: str, seq: str = "seq") -> DataStreamWriter:
+def sink_dimensions(keyed: DataFrame, path: str, checkpoint: str, seq: str = "seq", fold_every: int = 50) -> DataStreamWriter:
     """Latest ``value`` per ``key`` of each micro-batch, appended; the snapshot is the latest over batches.
 
-    Work per batch is the batch alone, and a replayed batch replaces itself.
+    Work per batch is the batch alone, and a replayed batch replaces itself. Every ``fold_every`` batches the history is folded into one
+    snapshot, so a reader meets one snapshot and fewer than twice ``fold_every`` batch folders however long the sink runs.
     """
     def upsert(batch: DataFrame, batch_id: int) -> None:
         newest = first_per_key(batch, ["key"], [F.col(seq).desc()])
-        write_batches(newest.select("key", "value", seq), batch_id, path)
+        write_batches(newest.select("key", "value", F.col(seq).alias("seq")), batch_id, path)
+        if batch_id % fold_every == fold_every - 1:
+            fold_dimensions(batch.sparkSession, path, batch_id)
 
     return keyed.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
 
 
+def fold_dimensions(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Fold all batches up to ``batch_id`` and the snapshot before them into the snapshot of ``batch_id``.
+
+    A snapshot counts once its write has ended, and is made from an earlier one, so a replay makes it again. What the snapshot before it covers is
+    removed; a reader that started with that one loses nothing until the next fold.
+    """
+    before, rows = _since_fold(spark, path, batch_id)
+    newest = first_per_key(rows.where(F.col("batch_id") <= batch_id), ["key"], [F.col("seq").desc(), F.col("batch_id").desc()])
+    newest.write.mode("overwrite").parquet(f"{path}{FOLDED}/upto={batch_id}")
+    if before is None:
+        return
+    old = [f"{path}{FOLDED}/upto={n}" for n in finished(spark, f"{path}{FOLDED}", "upto") if n < before]
+    old += [f"{path}/batch_id={n}" for n in finished(spark, path, "batch_id") if n <= before]
+    for folder in old:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def read_dimensions(spark: SparkSession, path: str) -> DataFrame:
     """Current snapshot of a dimension folder."""
     return _newest_dimensions(spark, path).select("key", "value")
@@ -159,6 +181,19 @@ def compact_dimensions(spark: SparkSession, path: str, target: str) -> None:
     write_batches(_newest_dimensions(spark, path).drop("batch_id"), -1, target)
 
 
+#: Snapshots lie beside the folder of the batches, under its name and this.
+FOLDED = "-folded"
+
+
+def _since_fold(spark: SparkSession, path: str, before: int | None = None) -> tuple[int | None, DataFrame]:
+    """The batch the newest snapshot goes up to (of those before ``before``), and its rows with those of later batches."""
+    schema = "key string, value string, seq bigint, batch_id bigint"
+    rows = spark.read.schema(schema).parquet(path)
+    upto = max((n for n in finished(spark, f"{path}{FOLDED}", "upto") if before is None or n < before), default=None)
+    if upto is None:
+        return None, rows
+    return upto, spark.read.schema(schema).parquet(f"{path}{FOLDED}/upto={upto}").unionByName(rows.where(F.col("batch_id") > upto))
+
+
 def _newest_dimensions(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.schema("key string, value string, seq bigint, batch_id bigint").parquet(path)
-    return first_per_key(rows, ["key"], [F.col("seq").desc(), F.col("batch_id").desc()])
+    return first_per_key(_since_fold(spark, path)[1], ["key"], [F.col("seq").desc(), F.col("batch_id").desc()])

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from streamloom.streaming.run import write_batches
 
 
-def _finished(spark: SparkSession, path: str, name: str) -> list[int]:
+def finished(spark: SparkSession, path: str, name: str) -> list[int]:
     """Numbers of the folders ``name=<number>`` of ``path`` whose write has ended."""
     pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}=*/_SUCCESS")
     found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
@@ -35,7 +35,7 @@ class VersionedTable:
 
     def newest(self) -> int:
         """The newest whole version, -1 if there is none."""
-        return max(_finished(self.spark, self.path, "version"), default=-1)
+        return max(finished(self.spark, self.path, "version"), default=-1)
 
     def at(self, version: int) -> DataFrame:
         """The rows of a version; none of version -1."""
@@ -46,7 +46,7 @@ class VersionedTable:
     def bound(self, bindings: str, batch_id: int) -> int:
         """The version of a micro-batch: the one written for it below ``bindings``, or else the newest, which is then written."""
         folder = f"{bindings}/batch_id={batch_id}"
-        if batch_id in _finished(self.spark, bindings, "batch_id"):
+        if batch_id in finished(self.spark, bindings, "batch_id"):
             return self.spark.read.schema("version bigint").parquet(folder).first()[0]
         version = self.newest()
         self.spark.range(1).selectExpr(f"CAST({version} AS BIGINT) AS version").write.mode("overwrite").parquet(folder)
