@@ -107,6 +107,13 @@ def test_filter_passes_every_listed_url_and_few_others(spark):
 def test_toxic_words_are_found_in_held_out_documents(spark, sf):
     sf = sf.replace("sf0.001", "sf0.1")
     got = QUERIES["op1_toxic_spans"](spark, sf).toPandas()
+    documents = read(sf, "documents")
+    texts = dict(zip(documents.doc_id, documents.text))
+    for r in got.itertuples():
+        assert len(r.offsets) == r.n_spans
+        words = [texts[r.doc_id][start:end] for start, end in r.offsets]
+        assert all(w and not any(c.isspace() for c in w) for w in words)
+    assert got.n_spans.sum() > 0
     assert len(got) == len(read(sf, "documents")) and got.score.between(0, 1).all()
     assert (got.held_out == [zlib.crc32(str(i).encode()) % 3 == 1 for i in got.doc_id]).all()
     both = got.merge(read(sf, "labels"), on="doc_id")
