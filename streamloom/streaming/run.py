@@ -89,13 +89,13 @@ def run_to_table(stream: DataFrame, mode: str = "append", end: EndMark | None =
 
 def feed_in_order(
     spark: SparkSession, tables: list[tuple[DataFrame, str]], parts: int, make: Callable[..., DataFrame], mode: str = "append",
-    marks: list[dict | None] | None = None, start: Callable[..., StreamingQuery] = start_to_table, schema: str | None = None,
+    marks: list[dict | None] | None = None, start: Callable[..., StreamingQuery] = start_to_table, schema: str | StructType | None = None,
     before: Callable[[int], None] | None = None,
 ) -> DataFrame:
     """Feed tables as streams, ``parts`` micro-batches in the order of a whole number each, and read back what ``make(*streams)`` gives, with ``batch_id``.
 
-    ``tables`` has (table, number). The span of all numbers is cut into equal parts, and ``part_of`` says which one a row is in. Before each micro-batch its rows are put
-    into the folders of the streams; the query is then started from its checkpoint and stops when it has read them, so every part also
+    ``tables`` has (table, number). The span of all numbers is cut into equal parts, and ``part_of`` says which one a row is in. The rows are written
+    once, a folder for each part, and before each micro-batch its folders are moved to where the streams read; the query is then started from its checkpoint and stops when it has read them, so every part also
     is a restart. ``marks`` has for each table the values of a last row (the rest is NULL), or nothing: it closes windows in an additional micro-batch.
     ``start(stream, path, checkpoint, mode)`` starts the query, with ``schema`` the columns it writes if they are not the stream's; ``before(part)`` is called before the rows of a part come.
     Rows whose number is NULL come with the first part.
@@ -104,19 +104,23 @@ def feed_in_order(
     known = [s for s in spans if s[0] is not None]
     low, high = (min(s[0] for s in known), max(s[1] for s in known)) if known else (0, 0)
     folders, cut = [], []
+    place = spark._jvm.org.apache.hadoop.fs.Path
     for df, seq in tables:
         whole, folder = scratch(spark, "parts"), scratch(spark, "feed")
         df.withColumn("__part", F.coalesce(part_of(F.col(seq), low, high, parts), F.lit(0))).write.partitionBy("__part").parquet(whole)
         df.limit(0).write.parquet(folder)
-        cut.append(spark.read.schema(StructType([*df.schema.fields]).add("__part", LongType())).parquet(whole))
+        cut.append(whole)
         folders.append(folder)
-    stream = make(*[spark.readStream.schema(df.schema).parquet(folder) for (df, _), folder in zip(tables, folders)])
+    stream = make(*[spark.readStream.schema(df.schema).option("recursiveFileLookup", True).parquet(folder) for (df, _), folder in zip(tables, folders)])
     path, checkpoint = scratch(spark, "stream-out"), scratch(spark, "stream-checkpoint")
     for part in range(parts):
         if before:
             before(part)
-        for rows, folder in zip(cut, folders):
-            rows.where(F.col("__part") == part).drop("__part").write.mode("append").parquet(folder)
+        for whole, folder in zip(cut, folders):
+            rows = place(f"{whole}/__part={part}")
+            files = rows.getFileSystem(spark._jsc.hadoopConfiguration())
+            if files.exists(rows) and not files.rename(rows, place(f"{folder}/part-{part}")):
+                raise OSError(f"{rows} could not be moved to {folder}")
         start(stream, path, checkpoint, mode).awaitTermination()
     if marks:
         for (df, _), mark, folder in zip(tables, marks, folders):
@@ -124,7 +128,7 @@ def feed_in_order(
                 values = [F.lit(mark.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields]
                 spark.range(1).select(*values).write.mode("append").parquet(folder)
         start(stream, path, checkpoint, mode).awaitTermination()
-    return read_batches(spark, path, StructType.fromDDL(schema) if schema else stream.schema)
+    return read_batches(spark, path, StructType.fromDDL(schema) if isinstance(schema, str) else schema or stream.schema)
 
 
 def part_of(seq, low: int, high: int, parts: int):

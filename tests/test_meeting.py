@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from streamloom.streaming import meeting
 from streamloom.streaming.meeting import LEFT_ALONE, MET, RIGHT_ALONE, SETTLED, expired_in_parts, met_in_parts
 
 DAY0 = datetime.datetime(2024, 1, 1)
@@ -51,3 +52,20 @@ def test_one_side_empty(spark):
     assert outcomes(met_in_parts(spark, headers, details, "id", "order_id", "h_at", "d_at", "10 days", parts=2)) == [(1, None, LEFT_ALONE)]
     empty = spark.createDataFrame([], HEADER)
     assert outcomes(met_in_parts(spark, empty, details, "id", "order_id", "h_at", "d_at", "10 days", parts=2)) == []
+
+
+def test_waiting_rows_are_a_table_bounded_by_the_wait(spark, monkeypatch):
+    """A row that has met is not alone later, and what a batch hands on is bounded by the wait, not by the rows fed so far."""
+    kept, whole = [], meeting.meet_or_expire
+
+    def counted(*args):
+        out, waiting = whole(*args)
+        kept.append(waiting.count())
+        return out, waiting
+
+    monkeypatch.setattr(meeting, "meet_or_expire", counted)
+    headers = spark.createDataFrame([(i, day(i), i) for i in range(100)], HEADER)
+    details = spark.createDataFrame([(n, n, day(n + 4)) for n in range(100) if n % 4], DETAIL)
+    out = expired_in_parts(spark, headers, details, "id", "order_id", "h_at", "d_at", "5 days", parts=4)
+    assert outcomes(out) == sorted([(n, n, MET) if n % 4 else (n, None, LEFT_ALONE) for n in range(100)], key=repr)
+    assert len(kept) == 5 and max(kept) < 40
