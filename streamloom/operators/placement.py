@@ -18,10 +18,18 @@ def rebalance(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
 
 
+#: A scan of fewer splits than this for each core is dealt out.
+DEALT = 4
+
+
 def over_all_cores(scan: DataFrame) -> DataFrame:
-    """Rows of a scan that has fewer splits than the cluster has cores, dealt out before heavy work; any other scan as it is."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    """Rows of a scan of few splits, dealt out to ``DEALT`` tasks a core before heavy work; any other scan as it is.
+
+    Splits are cut by bytes and their number says little about rows: a split in which no row group begins is empty. Only a scan of
+    many splits, which are of full size, is sure to have rows in most of them.
+    """
+    tasks = DEALT * scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(tasks) if scan.rdd.getNumPartitions() < tasks else scan
 
 
 def rescale(df: DataFrame, n: int, grow: bool = False) -> DataFrame:
