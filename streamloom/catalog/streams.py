@@ -152,11 +152,11 @@ def _(spark, sf):
     return spark.read.parquet(path).select("label", "value")
 
 
-def _in_files(spark, df, files):
-    """The rows as a stream that brings one of ``files`` files per micro-batch."""
-    path = scratch(spark, "feed")
-    df.repartition(files).write.parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+def _in_files(spark, df, batches):
+    """The rows as a stream of ``batches`` micro-batches, each of a file for every core, so that all cores write and read them."""
+    path, cores = scratch(spark, "feed"), spark.sparkContext.defaultParallelism
+    df.repartition(batches * cores).write.option("maxRecordsPerFile", 0).parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", cores).parquet(path)
 
 
 @query("exactly_once_progress", f'WITH {CLICKS} SELECT seq, "user", url, ts_ms AS timestamp FROM clicks')
