@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from typing import Any
 
@@ -32,14 +33,60 @@ class _Timers(StatefulProcessor):
 
 
 class EventTimers(_Timers):
-    """Per arrival: report it and set a timer ``after_ms`` later in event time."""
+    """Per arrival: report it and set a timer ``after_ms`` later in event time.
+
+    A user's due times are kept in lists of ``BLOCK``, and only the first of them is a timer of the store: when it expires, all that are due fire
+    with it. Timers of one user for the same time are one.
+    """
+
+    BLOCK = 4096
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.due = handle.getListState("due", "times array<bigint>")
+        self.first = handle.getValueState("first", "at bigint")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         wm = int(timerValues.getCurrentWatermarkInMs())
+        times = array("q")
         for row in rows:
             at = int(row["timestamp"])
-            self.handle.registerTimer(at + self.after_ms)
+            times.append(at + self.after_ms)
             yield Row(user=key[0], at=at, kind="arrival", wm=wm)
+        if times:
+            first = int(self.first.get()[0]) if self.first.exists() else None
+            self.due.appendList(self._blocks(times))
+            if first is None or min(times) < first:
+                if first is not None:
+                    self.handle.deleteTimer(first)
+                self._set(min(times))
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        wm, expired = int(timerValues.getCurrentWatermarkInMs()), int(expiredTimerInfo.getExpiryTimeInMs())
+        times = array("q")
+        for (block,) in self.due.get():
+            times.extend(block)
+        later = array("q")
+        last = None
+        for at in sorted(times):
+            if at > wm and at > expired:
+                later.append(at)
+            elif at != last:
+                last = at
+                yield Row(user=key[0], at=at, kind="timer", wm=wm)
+        if later:
+            self.due.put(self._blocks(later))
+            self._set(later[0])
+        else:
+            self.due.clear()
+            self.first.clear()
+
+    def _set(self, at: int) -> None:
+        self.first.update((at,))
+        self.handle.registerTimer(at)
+
+    def _blocks(self, times: array) -> list[tuple[list[int]]]:
+        return [(times[i:i + self.BLOCK].tolist(),) for i in range(0, len(times), self.BLOCK)]
 
 
 class ClockTimers(_Timers):
@@ -59,7 +106,7 @@ class ClockTimers(_Timers):
 def timer_event(clicks: DataFrame, after_ms: int, delay: str) -> DataFrame:
     """Arrivals and event-time timers per user."""
     return (
-        clicks.withWatermark("ts", delay).groupBy("user")
+        clicks.select("user", "timestamp", "ts").withWatermark("ts", delay).groupBy("user")
         .transformWithState(EventTimers(after_ms), TIMER_OUT, outputMode="Append", timeMode="EventTime")
     )
 

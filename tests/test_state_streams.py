@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fixtures import LATE1, LATE2, clicks
 from streamloom.operators import windows
 from streamloom.plans.dau import first_visits_stream
-from streamloom.streaming import keyed_state
+from streamloom.streaming import keyed_state, stateful
 from streamloom.streaming.run import EndMark, feed_in_order
 
 END = 221845392000000
@@ -81,3 +81,32 @@ def test_exact_users_of_closing_windows(spark):
     out = feed_in_order(spark, [(clicks(spark, data), "timestamp")], 3, lambda s: windows.window_uv_exact_stream(s.withWatermark("ts", "1 second"), "user", 5000), marks=[{"ts": EndMark.AT}])
     want = {w: len({u for u, _, t in data if t // 5000 * 5000 == w and u}) for w in range(0, 30_000, 5000)}
     assert {r.win_start: r.uv for r in out.collect()} == want
+
+
+def test_a_join_without_a_bound_runs_without_python(spark):
+    """Rows of both sides stay in the state of Spark's own join; a key of NULL and a number of NULL are no error."""
+    a = spark.createDataFrame([(1, 5, "x"), (1, None, "y"), (None, 2, "z")], "id bigint, at bigint, a string")
+    b = spark.createDataFrame([(1, 5, "p"), (1, 1, "q"), (2, 3, "r")], "id bigint, at bigint, b string")
+    plans = []
+
+    def make(x, y):
+        plans.append(keyed_state.connect_by_key(x, y, "id", "at", "at"))
+        return plans[0]
+
+    out = feed_in_order(spark, [(a, "at"), (b, "at")], 2, make)
+    assert "TransformWithState" not in plans[0]._jdf.queryExecution().logical().toString()
+    got = sorted((r.id, r.l.a, r.r.b, r.later_side) for r in out.select("id", "later_side", F.from_json("left", "a string").alias("l"), F.from_json("right", "b string").alias("r")).collect())
+    assert got == [(1, "x", "p", "right"), (1, "x", "q", "left"), (1, "y", "p", "right"), (1, "y", "q", "right")]
+
+
+def test_many_arrivals_of_a_user_hold_one_timer(spark, monkeypatch):
+    """Due times in several lists fire each once, in later micro-batches too; the store has one timer for them."""
+    monkeypatch.setattr(stateful.EventTimers, "BLOCK", 16)
+    data = [("a" if i % 3 else "b", "x", 1000 + i // 2 * 100) for i in range(300)]
+    rows = clicks(spark, data)
+    out = feed_in_order(spark, [(rows, "timestamp")], 3, lambda s: stateful.timer_event(s, 2500, "1 second"), marks=[{"ts": EndMark.AT, "timestamp": END}]).filter(F.col("at") < END).collect()
+    arrivals = sorted((r.user, r.at) for r in out if r.kind == "arrival")
+    assert arrivals == sorted((user, at) for user, _, at in data)
+    timers = [(r.user, r.at) for r in out if r.kind == "timer"]
+    assert sorted(timers) == sorted({(user, at + 2500) for user, at in arrivals})
+    assert len({r.batch_id for r in out if r.kind == "timer"}) > 1 and all(r.at <= r.wm for r in out if r.kind == "timer")
