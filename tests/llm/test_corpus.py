@@ -6,9 +6,11 @@ import math
 import random
 import re
 import sys
+import tracemalloc
 import zlib
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -504,6 +506,55 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert neardup.near_duplicates(empty_docs(spark)).collect() == [] == neardup.keep_one(empty_docs(spark)).collect()
 
 
+class OneTask:
+    """A frame whose whole work is one task of this process."""
+
+    def __init__(self, table):
+        self.table = table
+
+    def repartition(self, *_):
+        return self
+
+    sortWithinPartitions = repartition
+
+    def mapInArrow(self, run, _):
+        return OneTask(pa.Table.from_batches(list(run(iter(self.table.to_batches())))))
+
+    def distinct(self):
+        return self.table
+
+
+@pytest.mark.parametrize("held", [neardup.MOST_HELD, 1])
+def test_a_group_of_near_copies_needs_little_memory(monkeypatch, held):
+    """500 near copies are 125,000 pairs of like signatures; a task that listed them all took 20 MB and more, and 16 times that for 2,000."""
+    monkeypatch.setattr(neardup, "MOST_HELD", held)
+    texts = near_copies(500, 60, 2, 4) + near_copies(3, 60, 0, 5)
+    shingles, factors, least = neardup.shingler(3), neardup.multipliers(), neardup.least_agreement(0.8)
+    short = [neardup.signature(shingles(t), factors).view("uint8")[::4].tobytes() for t in texts]
+    keys = [b"%04d" % i for i in range(len(texts))]
+    tracemalloc.start()
+    group = {"key": pa.array(keys), "label": pa.array(keys), "short": pa.array(short)}
+    clusters = neardup.compare_parts(OneTask(pa.table({"part": [1] * len(texts), **group})), least)
+    compared = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    links = neardup.confirm(OneTask(pa.table({"cluster": [1] * len(texts), **group, "text": texts})), 3, (80, 100), least)
+    confirmed = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert max(compared, confirmed) < 12e6, (compared, confirmed)
+    assert sorted(collections.Counter(clusters["cluster"].to_pylist()).values()) == [3, 500]
+    root = list(range(len(texts)))
+    for a, b in zip(links["a"].to_pylist(), links["b"].to_pylist()):
+        root = [root[int(b)] if r == root[int(a)] else r for r in root]
+    found = collections.defaultdict(set)
+    for i, r in enumerate(root):
+        found[r].add(i)
+    want = plain_components(list(range(len(texts))), texts, 3, (80, 100))
+    whole = collections.defaultdict(set)
+    for i, (_, c) in want.items():
+        whole[c].add(i)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, whole.values()))
+
+
 # --- the pipeline -----------------------------------------------------------------------------------------------
 
 
