@@ -2,7 +2,7 @@
 
 State lies in the state store, is checkpointed with the stream and comes back after a restart. Rows of one key inside a micro-batch are taken in the order of
 ``seq``; across micro-batches the order is that of the feed (``run.feed_in_order``). A key is the work of one task, as its order demands; what is held
-in memory is one key's rows of one micro-batch.
+in memory is one key's rows of one micro-batch. ``connect_by_key`` has no state store: what it keeps are tables, and no key is bound to one task.
 """
 
 from __future__ import annotations
@@ -12,9 +12,12 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 from streamloom.functions.clock import window_floor
 from streamloom.shipping import ship_by_value
+from streamloom.streaming.run import worked_by_batch, write_batches
+from streamloom.streaming.versions import finished
 
 ship_by_value(__name__)
 
@@ -121,18 +124,40 @@ def running_changelog(rows: DataFrame, key: str, value: str, other: str, seq: st
     return named.groupBy("key").transformWithState(Running(), RUNNING_OUT, outputMode="Append", timeMode="None")
 
 
+PAIR_OUT = "id bigint, left string, right string, later_side string"
+
+
 def connect_by_key(left: DataFrame, right: DataFrame, key: str, left_seq: str, right_seq: str) -> DataFrame:
     """Inner join of two streams without any bound on time: ``id``, ``left`` and ``right`` (the other columns of a row as JSON) and ``later_side``, the side that completed the pair.
 
-    State holds all rows of both sides, as a join without a bound must: it is that of Spark's own join of streams, so no row passes through Python. A pair comes
-    out once, whichever micro-batches its rows are in. The numbers are those of arrival, by which both streams are fed; of equal ones the left row was first.
+    All rows of both sides are kept, as a join without a bound must: a table for each micro-batch, to which nothing is written again. A micro-batch joins its
+    left rows with all right ones and its right rows with the earlier left ones, so its work is two joins, which Spark spills and whose hot keys it splits,
+    and no row costs look-ups of its own; each micro-batch reads what is kept once. A pair comes out once, whichever micro-batches its rows are in. The
+    numbers are those of arrival, by which both streams are fed; of equal ones the left row was first. The joins are ``worked_by_batch``.
     """
-    def side(df: DataFrame, name: str, seq: str) -> DataFrame:
+    spark = left.sparkSession
+
+    def side(df: DataFrame, is_left: bool, seq: str) -> DataFrame:
         rest = [c for c in df.columns if c not in (key, seq)]
-        return df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias(f"{name}_id"), F.col(seq).cast("bigint").alias(f"{name}_seq"), F.to_json(F.struct(*rest)).alias(name))
+        known = df.where(F.col(key).isNotNull())
+        return known.select(F.lit(is_left).alias("is_left"), F.col(key).cast("bigint").alias("key"), F.col(seq).cast("bigint").alias("seq"), F.to_json(F.struct(*rest)).alias("row"))
+
+    both = side(left, True, left_seq).unionByName(side(right, False, right_seq))
+
+    def meet(batch: DataFrame, batch_id: int, folder: str) -> DataFrame:
+        write_batches(batch, batch_id, folder)
+
+        def rows(batches: list[int], is_left: bool, name: str) -> DataFrame:
+            kept = spark.read.schema(both.schema).parquet(*[f"{folder}/batch_id={n}" for n in batches])
+            return kept.where(F.col("is_left") == is_left).select("key", F.col("seq").alias(f"{name}_seq"), F.col("row").alias(name))
+
+        upto = [n for n in finished(spark, folder, "batch_id") if n <= batch_id]
+        pairs = rows([batch_id], True, "left").join(rows(upto, False, "right"), "key")
+        if earlier := upto[:-1]:
+            pairs = pairs.unionByName(rows(earlier, True, "left").join(rows([batch_id], False, "right"), "key"))
+        return pairs.select(F.col("key").alias("id"), "left", "right", F.when(F.col("left_seq") > F.col("right_seq"), "left").otherwise("right").alias("later_side"))
 
-    pairs = side(left, "left", left_seq).join(side(right, "right", right_seq), F.col("left_id") == F.col("right_id"), "inner")
-    return pairs.select(F.col("left_id").alias("id"), "left", "right", F.when(F.col("left_seq") > F.col("right_seq"), "left").otherwise("right").alias("later_side"))
+    return worked_by_batch(both, meet, StructType.fromDDL(PAIR_OUT))
 
 
 TOP_OUT = "win_start bigint, win_end bigint, url string, count bigint, rank int"

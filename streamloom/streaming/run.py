@@ -17,13 +17,35 @@ def write_batches(batch: DataFrame, batch_id: int, path: str) -> None:
     batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+#: The tables that the work on micro-batches keeps lie beside the folder of the output, under its name and this.
+KEPT = "-kept"
+
+
+def worked_by_batch(stream: DataFrame, work: Callable[[DataFrame, int, str], DataFrame], schema: StructType) -> DataFrame:
+    """``stream`` with work of its own for each micro-batch: ``work(batch, batch_id, folder)`` gives the rows that are written, with the columns ``schema``.
+
+    What the work keeps from batch to batch are tables below ``folder``; a batch that is run again must give what it gave before. The work goes with this
+    DataFrame and not with others made from it: ``start_to_table`` does it, and so do ``run_to_table`` and ``feed_in_order`` by default.
+    """
+    stream._by_batch = (work, schema)
+    return stream
+
+
+def written_schema(stream: DataFrame) -> StructType:
+    """The columns of what ``start_to_table`` writes."""
+    return stream._by_batch[1] if hasattr(stream, "_by_batch") else stream.schema
+
+
 def start_to_table(
     stream: DataFrame, path: str, checkpoint: str, mode: str = "append",
     finish: Callable[[DataFrame], DataFrame] | None = None, **trigger,
 ) -> StreamingQuery:
-    """Start writing every micro-batch, after ``finish``, below ``path``; default trigger: all that is available."""
+    """Start writing every micro-batch, after the stream's own work on it and ``finish``, below ``path``; default trigger: all that is available."""
+    work = stream._by_batch[0] if hasattr(stream, "_by_batch") else None
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batches(finish(batch) if finish else batch, batch_id, path)
+        rows = work(batch, batch_id, f"{path}{KEPT}") if work else batch
+        write_batches(finish(rows) if finish else rows, batch_id, path)
 
     return (
         stream.writeStream.outputMode(mode)
@@ -84,7 +106,7 @@ def run_to_table(stream: DataFrame, mode: str = "append", end: EndMark | None =
         end.run(start)
     else:
         start().awaitTermination()
-    return read_batches(spark, path, stream.schema)
+    return read_batches(spark, path, written_schema(stream))
 
 
 def feed_in_order(
@@ -128,7 +150,7 @@ def feed_in_order(
                 values = [F.lit(mark.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields]
                 spark.range(1).select(*values).write.mode("append").parquet(folder)
         start(stream, path, checkpoint, mode).awaitTermination()
-    return read_batches(spark, path, StructType.fromDDL(schema) if isinstance(schema, str) else schema or stream.schema)
+    return read_batches(spark, path, StructType.fromDDL(schema) if isinstance(schema, str) else schema or written_schema(stream))
 
 
 def part_of(seq, low: int, high: int, parts: int):

@@ -8,7 +8,7 @@ from fixtures import LATE1, LATE2, clicks
 from streamloom.operators import windows
 from streamloom.plans.dau import first_visits_stream
 from streamloom.streaming import keyed_state, stateful
-from streamloom.streaming.run import EndMark, feed_in_order
+from streamloom.streaming.run import EndMark, feed_in_order, read_batches, start_to_table, written_schema
 
 END = 221845392000000
 
@@ -99,6 +99,32 @@ def test_a_join_without_a_bound_runs_without_python(spark):
     assert got == [(1, "x", "p", "right"), (1, "x", "q", "left"), (1, "y", "p", "right"), (1, "y", "q", "right")]
 
 
+def test_a_join_without_a_bound_keeps_its_rows_as_tables(spark, tmp_path):
+    """No row is looked up in a state store: a micro-batch joins its rows with the tables of those before, and one that is run again replaces itself."""
+    a = spark.createDataFrame([(i % 5, i, f"l{i}") for i in range(0, 90, 2)], "id bigint, at bigint, a string")
+    b = spark.createDataFrame([(i % 7, i, f"r{i}") for i in range(1, 90, 2)] + [(1, 2, "r2"), (1, 2, "r2")], "id bigint, at bigint, b string")
+    want = sorted((i, x, y, "left" if t > u else "right") for i, t, x in a.collect() for j, u, y in b.collect() if i == j)
+    folders, path, checkpoint = [str(tmp_path / n) for n in ("a", "b")], str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    for df, folder in zip((a, b), folders):
+        df.limit(0).write.parquet(folder)
+    stream = keyed_state.connect_by_key(*[spark.readStream.schema(df.schema).parquet(folder) for df, folder in zip((a, b), folders)], "id", "at", "at")
+    assert "Join" not in stream._jdf.queryExecution().logical().toString()
+
+    def pairs():
+        out = read_batches(spark, path, written_schema(stream))
+        return sorted((r.id, r.l.a, r.r.b, r.later_side) for r in out.select("id", "later_side", F.from_json("left", "a string").alias("l"), F.from_json("right", "b string").alias("r")).collect())
+
+    for part in range(3):
+        for df, folder in zip((a, b), folders):
+            df.where(F.col("at") * 3 / 90 >= part).where(F.col("at") * 3 / 90 < part + 1).write.mode("append").parquet(folder)
+        start_to_table(stream, path, checkpoint).awaitTermination()
+    assert pairs() == want and not (tmp_path / "checkpoint" / "state").exists()
+    (tmp_path / "checkpoint" / "commits" / "2").unlink()  # as if the driver had gone before the batch was committed
+    (tmp_path / "checkpoint" / "commits" / ".2.crc").unlink(missing_ok=True)
+    start_to_table(stream, path, checkpoint).awaitTermination()
+    assert pairs() == want
+
+
 def test_many_arrivals_of_a_user_hold_one_timer(spark, monkeypatch):
     """Due times in several lists fire each once, in later micro-batches too; the store has one timer for them."""
     monkeypatch.setattr(stateful.EventTimers, "BLOCK", 16)
