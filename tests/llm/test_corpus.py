@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -10,6 +11,7 @@ import tracemalloc
 import zlib
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 from helpers import DOCS, awkward_docs, bag, empty_docs, labels, read, with_clashes  # noqa: E402
 
-from streamloom.llm import decontaminate, neardup, quality, rules  # noqa: E402
+from streamloom.llm import common, decontaminate, neardup, quality, rules  # noqa: E402
 from streamloom.llm.components import components  # noqa: E402
 from streamloom.llm.mixing import mix, mixed  # noqa: E402
 from streamloom.llm.queries import QUERIES  # noqa: E402
@@ -555,6 +557,53 @@ def test_a_group_of_near_copies_needs_little_memory(monkeypatch, held):
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, whole.values()))
 
 
+def test_texts_are_hashed_together_as_one_by_one(monkeypatch):
+    """Word limits, texts that end in a word, words far over the length that is hashed with others, and slices of a few bytes."""
+    random.seed(8)
+    signs = " \t\n\x0b\x0c\r\x1c\x85abAB\xe9\u3000z"
+    texts = ["".join(random.choice(signs) for _ in range(random.choice([0, 1, 3, 10, 40]))) for _ in range(400)]
+    texts += [None, "", "ab", "AB ba", "q" * 257 + " b " + "Q" * 257, "y" * 70_000 + " A b", "x " * 40_000 + "y", "end"]
+
+    def plain(text, size):
+        words = (text or "").encode().lower().split()
+        run = min(size, len(words))
+        return {tuple(words[i : i + run]) for i in range(len(words) - run + 1)} if run else set()
+
+    for slice_bytes in (neardup.SLICE, 7):
+        monkeypatch.setattr(neardup, "SLICE", slice_bytes)
+        for size in (3, 5):
+            one, want = neardup.shingler(size), [plain(t, size) for t in texts]
+            got = [s.tolist() for s in neardup.all_shingles(pa.array(["cut off", *texts]).slice(1), size)]
+            assert got == [one(t or "").tolist() for t in texts]
+            assert [len(s) for s in got] == [len(w) for w in want] and all(s == sorted(set(s)) for s in got)
+            assert len(set().union(*got)) == len(set().union(*want))
+            for (x, a), (y, b) in itertools.combinations([*zip(got, want)][-40:], 2):
+                if x and y:
+                    assert neardup.overlap(np.array(x, np.uint64), np.array(y, np.uint64)) == len(a & b)
+
+
+def test_texts_of_one_row_group_are_dealt_out(spark, monkeypatch, tmp_path):
+    """A row group is read by one task: its texts are dealt out before they are described, and the table of them is removed again."""
+    monkeypatch.setattr(common, "DEALT_FROM", 50)
+    texts = [t for k in range(20) for t in near_copies(10, 80, 4, 100 + k)]
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, DOCS).coalesce(1).write.parquet(str(tmp_path / "one"))
+    docs, described = spark.read.parquet(str(tmp_path / "one")), []
+
+    def describe(rows, size, real=neardup.describe):
+        described.append((rows.groupBy(F.spark_partition_id()).count().count(), rows.inputFiles()[0]))
+        return real(rows, size)
+
+    monkeypatch.setattr(neardup, "describe", describe)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 3, (85, 100)).collect()}
+    assert got == {i: c for i, (_, c) in plain_components(list(range(len(texts))), texts, 3, (85, 100)).items()}
+    ((tasks, file),) = described
+    assert tasks >= spark.sparkContext.defaultParallelism and "dealt-" in file and not Path(file.removeprefix("file://")).exists()
+    many = docs.repartition(4 * spark.sparkContext.defaultParallelism)
+    with common.evenly(many, "doc_id") as same:
+        assert same is many
+
+
 # --- the pipeline -----------------------------------------------------------------------------------------------
 
 
